@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlog.llm.canonical import map_values
 from fieldlog.llm.truncation import club_cut, text_cut
 from fieldlog.sources.tables import table
 
@@ -33,5 +34,26 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("source").alias("home_team"), "field_name", "n_values", "n_cut", F.when(F.col("n_values") > 0, F.col("n_cut") / F.col("n_values")).alias("cut_share"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report}
+def mapped_values(spark: SparkSession, folder: str) -> DataFrame:
+    plays, walk = table(spark, folder, "plays"), table(spark, folder, "prefix_crosswalk")
+    typed = plays.select("game_id", F.col("penalty_team").alias("raw_value"), F.lit("penalty_team").alias("field_name")).where("raw_value is not null").distinct()
+    for c in ("prefix_a", "canonical_a"):
+        typed = typed.unionByName(walk.select("game_id", F.col(c).alias("raw_value"), F.lit(c).alias("field_name")))
+    sides = plays.select("game_id", "home_team", "away_team").distinct().select("game_id", F.explode(F.array("home_team", "away_team")).alias("club"))
+    context = sides.unionByName(walk.select("game_id", F.explode(F.array("team_1", "team_2")).alias("club")))
+    return map_values(typed, table(spark, folder, "team_list"), context)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The club of the list that each typed value means in its game, 0 for none."""
+    return mapped_values(spark, folder).select("field_name", "game_id", "raw_value", "team_no")
+
+
+def p4_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Values without an entry of the list, counted per field."""
+    mapped = mapped_values(spark, folder)
+    return mapped.groupBy("field_name").agg(F.count("*").alias("n_values"), F.count_if(F.col("team_no") == 0).alias("n_unmatched"), F.count_if(F.col("of_game")).alias("n_of_game"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report}
 SQL: dict[str, str] = {}
