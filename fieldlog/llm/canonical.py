@@ -59,7 +59,7 @@ def can_mean(value: str, name: str, nick: str | None) -> float:
     if flat == joined or w == own or sorted(w) == sorted(own):
         return 1.0
     best = 0.0
-    pool = [*own, *nicks, *SUFFIXES, "C"]
+    pool = [*own, *nicks, *SUFFIXES, "C", "COMM", "COMMUNITY", "COLL", "JC", "JUNIOR"]
     left, hit, typos = list(pool), 0.0, 0
     for x in w:
         y = next((p for p in left if p == x), None) or next((p for p in left if near(x, p)), None)
@@ -69,7 +69,7 @@ def can_mean(value: str, name: str, nick: str | None) -> float:
         typos += x != y
         hit += (y in own) / len(own) + (y in nicks) * 0.9
     else:
-        best = max(best, min(0.97, 0.55 + 0.4 * min(hit, 1.0)) - 0.03 * typos) if hit else best
+        best = max(best, min(0.97, 0.55 + 0.4 * min(hit, 1.0)) - 0.06 * typos) if hit else best
     for tail in ("", *SUFFIXES, "".join(nicks)):
         d = osa(flat, joined + tail)
         if len(flat) >= 5 and d <= (2 if len(joined + tail) >= 9 else 1):
@@ -82,7 +82,7 @@ def can_mean(value: str, name: str, nick: str | None) -> float:
         if len(flat) >= 3 and target and len(flat) < len(target):
             d, _ = prefix_edits(flat, target)
             if d == 0:
-                best = max(best, top if len(flat) >= 5 else top - 0.15)
+                best = max(best, 0.91 if len(flat) >= 7 and target == joined else top if len(flat) >= 5 else top - 0.15)
             elif d == 1 and len(flat) >= 5:
                 best = max(best, top - 0.12)
             elif d == 2 and len(flat) >= 9:

@@ -68,5 +68,5 @@ def codes(name: str | None) -> frozenset[str]:
     initials, bones = "".join(x[0] for x in w), [skeleton(x) for x in w]
     whole, first = skeleton("".join(w)), bones[0]
     out = {initials + c for c in ("", "C", "CC")} | {whole, first} | {first[:k] + "C" for k in (2, 3)} | {first[:k] for k in (3, 4)}
-    out |= {first[:k] + w[1][:m] for k in (2, 3, 4) for m in (1, 2, 3) if len(w) > 1} | {whole + c for c in ("C", "CC")}
+    out |= {first[:k] + x[:m] for k in (2, 3, 4) for m in (1, 2, 3) for x in w[1:]} | {whole + c for c in ("C", "CC")}
     return frozenset(out - {""})

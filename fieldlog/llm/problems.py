@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlog.llm.canonical import map_values
+from fieldlog.llm.people import link_names, person_pairs
 from fieldlog.llm.truncation import club_cut, text_cut
 from fieldlog.sources.tables import table
 
@@ -55,5 +56,21 @@ def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     return mapped.groupBy("field_name").agg(F.count("*").alias("n_values"), F.count_if(F.col("team_no") == 0).alias("n_unmatched"), F.count_if(F.col("of_game")).alias("n_of_game"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report}
+def linked_names(spark: SparkSession, folder: str) -> DataFrame:
+    return link_names(table(spark, folder, "pbp_names"), "name_id", ["season", "team"], "pbp_name", "canonical_name", "position")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of rows that name the same player of a club in a season."""
+    return person_pairs(linked_names(spark, folder)).select(F.col("id").alias("name_id_1"), F.col("id2").alias("name_id_2"))
+
+
+def p5_players(spark: SparkSession, folder: str) -> DataFrame:
+    """The player of each row, and under how many spellings that player is found."""
+    persons = linked_names(spark, folder)
+    n = persons.groupBy("person").agg(F.count("*").alias("n_rows"))
+    return persons.join(n, "person").select(F.col("id").alias("name_id"), F.col("person").alias("player"), "n_rows")
+
+
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players}
 SQL: dict[str, str] = {}
