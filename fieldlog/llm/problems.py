@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlog.llm.abuse import score_documents
 from fieldlog.llm.canonical import map_values
 from fieldlog.llm.people import link_names, person_pairs
 from fieldlog.llm.truncation import club_cut, text_cut
@@ -72,5 +73,21 @@ def p5_players(spark: SparkSession, folder: str) -> DataFrame:
     return persons.join(n, "person").select(F.col("id").alias("name_id"), F.col("person").alias("player"), "n_rows")
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with abusive, hateful or sexual content."""
+    return score_documents(table(spark, folder, "documents"), table(spark, folder, "doc_labels")).where("flagged").select("doc_id").distinct()
+
+
+def p8_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The score of every document."""
+    return score_documents(table(spark, folder, "documents"), table(spark, folder, "doc_labels")).select("doc_id", "language", "score", "flagged")
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates of flagged documents per source."""
+    scored = score_documents(table(spark, folder, "documents"), table(spark, folder, "doc_labels"))
+    return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.count_if("flagged").alias("n_flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players, "p8_found": p8_found, "p8_scores": p8_scores, "p8_report": p8_report}
 SQL: dict[str, str] = {}
