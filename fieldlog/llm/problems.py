@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fieldlog.llm.abuse import score_documents
 from fieldlog.llm.canonical import map_values
+from fieldlog.llm.mixing import mix, share_report
+from fieldlog.llm.packing import fill_report, pack, token_counts
 from fieldlog.llm.people import link_names, person_pairs
 from fieldlog.llm.truncation import club_cut, text_cut
 from fieldlog.sources.tables import table
@@ -73,6 +75,35 @@ def p5_players(spark: SparkSession, folder: str) -> DataFrame:
     return persons.join(n, "person").select(F.col("id").alias("name_id"), F.col("person").alias("player"), "n_rows")
 
 
+def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(token_counts(table(spark, folder, "documents"), "doc_id", []), "doc_id")
+
+
+def p6_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """The container of every document or piece."""
+    return packed_documents(spark, folder)
+
+
+def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How well the containers are filled."""
+    return fill_report(packed_documents(spark, folder))
+
+
+def mixed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts(table(spark, folder, "documents"), "doc_id", ["source", "lang", F.col("team_tag").alias("topic")])
+    return mix(counted, table(spark, folder, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The uses of every document in the mix."""
+    return mixed_documents(spark, folder)
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The share each source reaches beside its target."""
+    return share_report(mixed_documents(spark, folder), table(spark, folder, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with abusive, hateful or sexual content."""
     return score_documents(table(spark, folder, "documents"), table(spark, folder, "doc_labels")).where("flagged").select("doc_id").distinct()
@@ -89,5 +120,5 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.count_if("flagged").alias("n_flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players, "p8_found": p8_found, "p8_scores": p8_scores, "p8_report": p8_report}
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players, "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_scores": p8_scores, "p8_report": p8_report}
 SQL: dict[str, str] = {}
