@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from fieldlog.plans import problems
+from fieldlog.plans import problems, reports
 
-FLAGSHIP = "p1_report"
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+FLAGSHIP = "season_offense_ranked"
+QUERIES = {**problems.QUERIES, **reports.Q}
+SQL = {**problems.SQL, **reports.SQL}
