@@ -35,6 +35,9 @@ def neighbours(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Both frames have one column of distinct non-empty tokens; pairs come from shared reduced forms only.
     """
+    # A token more than two letters longer than the longest word can't be near any.
+    longest = right.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]
+    left = left.where(F.length("token") <= longest + 2)
     a = left.select("token", F.explode(F.expr(deletes("token"))).alias("reduced"))
     b = right.select("word", F.explode(F.expr(deletes("word"))).alias("reduced"))
     pairs = a.join(b, "reduced").select("token", "word").distinct()
@@ -53,7 +56,7 @@ def split_words(column: str) -> F.Column:
 def can_mean(value: str, name: str, nick: str | None) -> float:
     """How well a typed value fits one club that is at hand: whole names with typos, then parts, then codes and beginnings."""
     w, own = words(value.replace(",", " ")), words(name)
-    if not w or not own:
+    if not w or not own or len(value) > 3 * len(name) + 60:  # longer than any form of the name
         return 0.0
     flat, joined, nicks = "".join(w), "".join(own), words(nick)
     if flat == joined or w == own or sorted(w) == sorted(own):

@@ -38,6 +38,8 @@ for _name, _short in SHORT_FORMS.items():
         MEANS.setdefault(_x, set()).add(_name)
 PARTICLES = {"de", "la", "las", "los", "del", "van", "von", "der", "den", "st", "di", "da", "le", "el"}
 ENDINGS = {"jr", "sr", "ii", "iii", "iv", "v"}
+#: Letters beyond which a surname is no name; it is linked by equal spellings only.
+LONGEST = 60
 #: Letters of a surname that a cut form keeps at least.
 KEPT = 4
 
@@ -106,6 +108,8 @@ def surname_fit(a: str, b: str, df_a: float, df_b: float) -> float:
     """1 if equal, less for one edit or a cut form, 0 otherwise. Two surnames that are both frequent are no typos of each other."""
     if a == b:
         return 1.0
+    if max(len(a), len(b)) > LONGEST:
+        return 0.0
     low, high = sorted((df_a, df_b))
     if low >= 5 and low > 0.2 * high:
         return 0.0
@@ -209,7 +213,7 @@ def link_names(rows: DataFrame, key: str, group: list[str], name: str, full: str
 
     # Symmetric deletes of the surname, and its beginning for cut forms.
     shorter = "transform(sequence(1, length(x.surname)), i -> concat(substr(x.surname, 1, i - 1), substr(x.surname, i + 1)))"
-    index = kept.select("grp", "id", "x", F.explode(F.expr(f"array_distinct(concat(array(x.surname, concat('^', substr(x.surname, 1, {KEPT}))), CASE WHEN length(x.surname) >= 4 THEN {shorter} ELSE array() END))")).alias("reduced"))
+    index = kept.select("grp", "id", "x", F.explode(F.expr(f"array_distinct(concat(array(x.surname, concat('^', substr(x.surname, 1, {KEPT}))), CASE WHEN length(x.surname) BETWEEN 4 AND {LONGEST} THEN {shorter} ELSE array() END))")).alias("reduced"))
     swapped = kept.where("g >= 3").select("grp", "id", "x", F.col("x.given").alias("reduced"))
     index = index.unionByName(swapped).select("id", "x", F.xxhash64("grp", "reduced").alias("at"))
     left, right = index, index.select(F.col("id").alias("id2"), F.col("x").alias("y"), "at")
