@@ -24,7 +24,7 @@ PLAYERS = "struct<individuals: array<struct<playerId: string, pageName: string,
 
 def stat(key: str) -> F.Column:
     """A statistic of the sparse map as a number; '%' is dropped, what is no number is NULL."""
-    return F.rtrim(F.lit("%"), F.trim(F.try_element_at("stats", F.lit(key)))).try_cast("double")
+    return F.rtrim(F.trim(F.try_element_at("stats", F.lit(key))), F.lit("%")).try_cast("double")
 
 
 def players_from_json(raw: DataFrame, json_text: str, stats: list[str]) -> DataFrame:
