@@ -213,13 +213,24 @@ def link_names(rows: DataFrame, key: str, group: list[str], name: str, full: str
 
     # Symmetric deletes of the surname, and its beginning for cut forms.
     shorter = "transform(sequence(1, length(x.surname)), i -> concat(substr(x.surname, 1, i - 1), substr(x.surname, i + 1)))"
-    index = kept.select("grp", "id", "x", F.explode(F.expr(f"array_distinct(concat(array(x.surname, concat('^', substr(x.surname, 1, {KEPT}))), CASE WHEN length(x.surname) BETWEEN 4 AND {LONGEST} THEN {shorter} ELSE array() END))")).alias("reduced"))
-    swapped = kept.where("g >= 3").select("grp", "id", "x", F.col("x.given").alias("reduced"))
-    index = index.unionByName(swapped).select("id", "x", F.xxhash64("grp", "reduced").alias("at"))
-    left, right = index, index.select(F.col("id").alias("id2"), F.col("x").alias("y"), "at")
-    pairs = left.join(right, "at").where("id < id2 AND (x.given = '' OR y.given = '' OR substr(x.given, 1, 1) = substr(y.given, 1, 1) OR levenshtein(x.given, y.given) <= 1 OR length(x.given) > 1 AND length(y.given) > 1)")
-    pairs = pairs.select("id", "id2", "x", "y").distinct()
-    judged = cut(pairs.withColumn("fit", fits("x", "y")).where("fit > 0").groupBy("id", "id2").agg(F.max("fit").alias("fit")))
+    # The index holds numbers only; the names join the pairs that come out of it.
+    reduced = F.explode(F.expr(f"array_distinct(concat(array(x.surname, regexp_replace(x.surname, '^(dela|del|de|van|von|st|la)', ''), concat('^', substr(x.surname, 1, {KEPT}))), CASE WHEN length(x.surname) BETWEEN 4 AND {LONGEST} THEN {shorter} ELSE array() END))"))
+    index = kept.select("id", "grp", reduced.alias("reduced")).select("id", F.xxhash64("grp", "reduced").alias("at")).distinct()
+    right = index.select(F.col("id").alias("id2"), "at")
+    # A given name of one that is the surname of another shows a turned order.
+    turned = kept.where(f"g BETWEEN 3 AND {LONGEST}").select("id", "grp", F.explode(F.expr(f"array_append({shorter.replace('surname', 'given')}, x.given)")).alias("reduced")).select("id", F.xxhash64("grp", "reduced").alias("at")).distinct()
+    met = index.join(right, "at").where("id < id2").select("id", "id2").unionByName(turned.join(right, "at").where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")))
+    pairs = met.distinct()
+
+    def best_fit(a: pd.DataFrame, b: pd.DataFrame, c: pd.DataFrame, d: pd.DataFrame) -> pd.Series:
+        cols = lambda t: list(zip(t["given"], t["surname"], t["common"], t["df"], strict=True)) if len(t) else []
+        rows = zip(cols(a), cols(b), cols(c), cols(d), strict=True)
+        return pd.Series([max(align(p, q) for p in (w, x) if isinstance(p[1], str) for q in (y, z) if isinstance(q[1], str)) for w, x, y, z in rows], dtype=float)
+
+    named = nodes.select("id", "a", F.coalesce("b", "a").alias("b"))
+    other = named.select(F.col("id").alias("id2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+    judged = pairs.join(named, "id").join(other, "id2").select("id", "id2", F.pandas_udf(best_fit, "double")("a", "b", "a2", "b2").alias("fit"))
+    judged = cut(judged.where("fit > 0"))
 
     strong = judged.where("fit >= 0.8").select(F.col("id").alias("a"), F.col("id2").alias("b"))
     persons = cut(components(nodes, strong))
