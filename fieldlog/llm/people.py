@@ -211,14 +211,16 @@ def link_names(rows: DataFrame, key: str, group: list[str], name: str, full: str
     kept = nodes.select("grp", "id", "hint", F.explode(F.array_compact(F.array("a", "b"))).alias("x")).select("grp", "id", "hint", "x", F.length("x.given").alias("g"))
     kept = kept.dropDuplicates(["id", "x"])
 
-    # Symmetric deletes of the surname, and its beginning for cut forms.
-    shorter = "transform(sequence(1, length(x.surname)), i -> concat(substr(x.surname, 1, i - 1), substr(x.surname, i + 1)))"
-    # The index holds numbers only; the names join the pairs that come out of it.
-    reduced = F.explode(F.expr(f"array_distinct(concat(array(x.surname, regexp_replace(x.surname, '^(dela|del|de|van|von|st|la)', ''), concat('^', substr(x.surname, 1, {KEPT}))), CASE WHEN length(x.surname) BETWEEN 4 AND {LONGEST} THEN {shorter} ELSE array() END))"))
-    index = kept.select("id", "grp", reduced.alias("reduced")).select("id", F.xxhash64("grp", "reduced").alias("at")).distinct()
+    # Symmetric deletes of the surname, and its beginning for cut forms. The index holds numbers only; the names join the
+    # pairs that come out of it.
+    shorter = lambda c: f"CASE WHEN length({c}) BETWEEN 4 AND {LONGEST} THEN transform(sequence(1, length({c})), i -> concat(substr({c}, 1, i - 1), substr({c}, i + 1))) ELSE array() END"
+    bare = "'^(dela|del|de|van|von|st|la)', ''"
+    keys = lambda c: f"concat(array({c}, regexp_replace({c}, {bare}), concat('^', substr({c}, 1, {KEPT}))), {shorter(c)})"
+    two = lambda f, c: F.explode(F.expr(f"array_distinct(concat({f('a.' + c)}, coalesce({f('b.' + c)}, array())))"))
+    index = nodes.select("id", "grp", two(keys, "surname").alias("reduced")).select("id", F.xxhash64("grp", "reduced").alias("at"))
     right = index.select(F.col("id").alias("id2"), "at")
     # A given name of one that is the surname of another shows a turned order.
-    turned = kept.where(f"g BETWEEN 3 AND {LONGEST}").select("id", "grp", F.explode(F.expr(f"array_append({shorter.replace('surname', 'given')}, x.given)")).alias("reduced")).select("id", F.xxhash64("grp", "reduced").alias("at")).distinct()
+    turned = nodes.select("id", "grp", two(lambda c: f"concat(array({c}), {shorter(c)})", "given").alias("reduced")).where("length(reduced) > 1").select("id", F.xxhash64("grp", "reduced").alias("at"))
     met = index.join(right, "at").where("id < id2").select("id", "id2").unionByName(turned.join(right, "at").where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")))
     pairs = met.distinct()
 
