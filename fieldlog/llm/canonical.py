@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.llm.forms import SUFFIXES, codes, near, osa, prefix_edits, words
-from fieldlog.session import small
+from fieldlog.session import small, spread
 
 #: Soft TF-IDF that an entry outside the value's context must reach.
 ENOUGH = 0.8
@@ -143,7 +143,7 @@ def map_values(values: DataFrame, reference: DataFrame, context: DataFrame) -> D
     clubs = clubs.join(small(entries), "__key", "left").groupBy("game_id", "__key").agg(F.min("club").alias("club"), F.max("team_no").alias("team_no"), F.max("mascot").alias("mascot"))
     clubs = clubs.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("club", F.coalesce("team_no", F.lit(0)).alias("team_no"), F.coalesce("mascot", F.lit("")).alias("mascot")))).alias("clubs"))
     placed = values.join(clubs, "game_id", "left")
-    cases = placed.select("raw_value", "clubs").distinct()
+    cases = spread(placed.select("raw_value", "clubs").distinct(), "raw_value", "clubs")
 
     def at_hand(raw: pd.Series, near_clubs: pd.Series) -> pd.DataFrame:
         out, seen = [], {}
