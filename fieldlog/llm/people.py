@@ -227,7 +227,7 @@ def link_names(rows: DataFrame, key: str, group: list[str], name: str, full: str
     def best_fit(a: pd.DataFrame, b: pd.DataFrame, c: pd.DataFrame, d: pd.DataFrame) -> pd.Series:
         cols = lambda t: list(zip(t["given"], t["surname"], t["common"], t["df"], strict=True)) if len(t) else []
         rows = zip(cols(a), cols(b), cols(c), cols(d), strict=True)
-        return pd.Series([max(align(p, q) for p in (w, x) if isinstance(p[1], str) for q in (y, z) if isinstance(q[1], str)) for w, x, y, z in rows], dtype=float)
+        return pd.Series([max(align(p, q) for p in {w, x} if isinstance(p[1], str) for q in {y, z} if isinstance(q[1], str)) for w, x, y, z in rows], dtype=float)
 
     named = nodes.select("id", "a", F.coalesce("b", "a").alias("b"))
     other = named.select(F.col("id").alias("id2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
