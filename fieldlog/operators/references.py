@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlog.session import small
+from fieldlog.session import small, spread
 
 #: Keys a range is meant to hold; a period with more distinct keys is cut into more ranges by hash.
 RANGE_KEYS = 16_384
@@ -86,7 +86,7 @@ def _and_not(key: tuple, boxes: pd.DataFrame) -> pd.DataFrame:
 def dangling(refs: DataFrame, parents: DataFrame, range_keys: int = RANGE_KEYS) -> DataFrame:
     """References without parent: ref_name, run_id, ref_value, kind, one row each.
 
-    ``refs``: ref_name, parent_name, season, run_id, seek, value. ``parents``: parent_name, season (null for a parent
+    ``refs``: ref_name (of one parent each), parent_name, season, run_id, seek, value. ``parents``: parent_name, season (null for a parent
     that isn't delivered by period), ord, value. A value is sought among its season's parent rows whose ord equals
     seek; where there are none, all are missing from it. kind: ``late`` if a parent row of a greater ord has the
     value, else ``deleted`` if one of a smaller ord has it, else ``missing``. Values are trimmed and put in lower
@@ -110,11 +110,12 @@ def dangling(refs: DataFrame, parents: DataFrame, range_keys: int = RANGE_KEYS)
 
     boxed = both.join(coded, ["period", "value"]).groupBy("parent_name", "period", "rng", "ref_name", "run_id", "seek", "ord").agg(F.collect_list("pos").alias("at"))
     boxed = boxed.withColumn("box", F.pandas_udf(_boxes, "binary")("at")).drop("at")
-    spread = F.col("period") == STATIC
+    fixed = F.col("period") == STATIC
     one = F.pmod(F.xxhash64("run_id"), F.lit(STATIC_SHARES)).cast("int")
-    shares = F.when(~spread, F.array(F.lit(0))).when(F.col("ref_name").isNotNull(), F.array(one)).otherwise(F.sequence(F.lit(0), F.lit(STATIC_SHARES - 1)))
+    shares = F.when(~fixed, F.array(F.lit(0))).when(F.col("ref_name").isNotNull(), F.array(one)).otherwise(F.sequence(F.lit(0), F.lit(STATIC_SHARES - 1)))
     boxed = boxed.withColumn("share", F.explode(shares))
-    found = boxed.groupBy("parent_name", "period", "rng", "share").applyInPandas(_and_not, "ref_name string, run_id string, period string, rng int, kind string, pos array<int>")
+    on = ["parent_name", "period", "rng", "share"]
+    found = spread(boxed, *on).groupBy(*on).applyInPandas(_and_not, "ref_name string, run_id string, period string, rng int, kind string, pos array<int>")
     found = found.withColumn("pos", F.explode("pos"))
     back = coded.select(F.col("period").alias("__p"), F.col("rng").alias("__r"), F.col("pos").alias("__at"), "value")
     found = found.join(back, (F.col("period") == F.col("__p")) & (F.col("rng") == F.col("__r")) & (F.col("pos") == F.col("__at")))

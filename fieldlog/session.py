@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,11 +48,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The frame with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame as a table written to the shared folder and read again: lineage ends there, whichever executor is lost.
+
+    The table is computed once (a checkpoint computes its plan twice) and deleted when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a side counted to hold at most ``rows`` rows; a larger one is left to a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """The frame laid out by ``by`` over as many tasks as shuffles have, also where its few bytes would be put into one.
+
+    For rows on which Python works long: adaptive execution goes by bytes and leaves an explicit number alone.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *by)

@@ -34,7 +34,7 @@ def test_against_brute_force(spark):
     rng = random.Random(4)
     v = lambda: rng.choice(["a", "B ", " b", "c", "dd", "", None, " ", "é", *map(str, range(40))])
     parents = [("p", f"s{rng.randrange(3)}", rng.randint(1, 4), v()) for _ in range(150)] + [("t", None, 1, v()) for _ in range(20)]
-    refs = [(f"r{rng.randrange(2)}", rng.choice(["p", "t", "none"]), f"s{s}", f"run{s}{k}", k, v()) for _ in range(300) for s in [rng.randrange(3)] for k in [rng.randrange(0, 6)]]
+    refs = [(f"r{rng.randrange(2)}.{parent}", parent, f"s{s}", f"run{s}{k}", k, v()) for _ in range(300) for s in [rng.randrange(3)] for k in [rng.randrange(0, 6)] for parent in [rng.choice(["p", "t", "none"])]]
     got = [tuple(r) for r in dangling(spark.createDataFrame(refs * 2, REFS), spark.createDataFrame(parents * 2, PARENTS), range_keys=7).collect()]
     assert len(got) == len(set(got))
     assert set(got) == brute(refs, parents)
