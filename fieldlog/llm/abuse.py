@@ -13,6 +13,7 @@ import random
 import re
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +26,14 @@ from fieldlog.llm import abuse_seeds as seeds
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 15, 24, (1, 2, 3, 4, 5), 24
 #: Words of a window; a segment with more is scored in windows that overlap by half.
 WINDOW = 32
-#: Bounds of what training reads: segments of labelled documents in all, and hand-written sentences drawn.
+#: Bounds of what fitting reads: segments of labelled documents in all, and hand-written sentences drawn (of each at most
+#: the first 2 * WINDOW words).
 SEGMENTS, DRAWN, EPOCHS = 24_000, 4_000, 4
 
 #: Cut-off where verdicts tell nothing: above one half, for abuse is rarer among documents than among training sentences.
 USUAL = 0.8
+#: Cut-offs among which the verdicts choose.
+CUTS = np.arange(0.5, 0.96, 0.05)
 
 LEET = str.maketrans({"@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "!": "i", "+": "t"})
 STARRED = sorted(
@@ -232,8 +236,20 @@ class Network:
         return out
 
 
+def held_out(doc: int) -> bool:
+    """One verdict in five never trains; SQL: crc32(CAST(doc_id AS STRING)) % 5 = 0."""
+    return zlib.crc32(str(doc).encode()) % 5 == 0
+
+
 def train(labelled: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> tuple[Network, dict[str, float]]:
-    """A network and thresholds by language. ``labelled``: doc_id, language, verdict (1 remove), segments.
+    """A network and thresholds by language from verdicts at hand: doc_id, language, verdict (1 remove), segments."""
+    net = fit([d for d in labelled if not held_out(d[0])])
+    held = [d for d in labelled if held_out(d[0])]
+    return net, thresholds(Counter((d[1], int(level), d[2]) for d, level in zip(held, levels(worst(net, [d[3] for d in held])), strict=True)))
+
+
+def fit(used: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> Network:
+    """A network. ``used``: doc_id, language, verdict (1 remove), segments.
 
     Of a removed document only the segment that looks worst and that no kept document has counts as abuse, and only
     where the network agrees, for some verdicts are mistaken; all segments of a kept document count as fair, after the
@@ -241,8 +257,6 @@ def train(labelled: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> tuple[
     """
     rng, draw = np.random.default_rng(11), random.Random(5)
     written = [(s, y) for text, y in seed_sentences(draw, DRAWN) if (s := tuple(k for p in segments(text) for k in p))]
-    held = [d for d in labelled if zlib.crc32(str(d[0]).encode()) % 5 == 0]
-    used = [d for d in labelled if zlib.crc32(str(d[0]).encode()) % 5]
     net = Network()
 
     def run(data: list[tuple[tuple[int, ...], float, float]], epochs: int, rate: float) -> None:
@@ -267,25 +281,43 @@ def train(labelled: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> tuple[
             if verdict:
                 # The worst segment that no kept document has.
                 own = [s for s in parts if s not in kept] or parts
-                worst = max(own, key=lambda s: p[s])
-                if turn and p[worst] > 0.5:
-                    data.append((worst, 1.0, 1.0))
+                top = max(own, key=lambda s: p[s])
+                if turn and p[top] > 0.5:
+                    data.append((top, 1.0, 1.0))
             else:
                 data += [(s, 0.0, 1.0) for s in dict.fromkeys(parts) if not turn or p[s] < doubt]
         run(data, min(8, 2 + 300 // len(used)) if not turn else 2, 0.002)
-    return net, thresholds(net, held)
+    return net
+
+
+def worst(net: Network, documents: list[list[tuple[int, ...]]]) -> np.ndarray:
+    """The score of each document: that of its worst segment, 0 without any; equal segments are scored once."""
+    best = np.zeros(len(documents), np.float32)
+    distinct = list(dict.fromkeys(s for d in documents for s in d))
+    if distinct:
+        p = dict(zip(distinct, net.score(distinct), strict=True))
+        best[:] = [max((p[s] for s in d), default=0.0) for d in documents]
+    return best
+
 
+def levels(scores: np.ndarray) -> np.ndarray:
+    """How many of the possible cut-offs each score reaches."""
+    return np.searchsorted(CUTS, scores.astype(float), side="right")
 
-def thresholds(net: Network, held: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> dict[str, float]:
-    """Cut-offs by language: USUAL, moved toward the F1 optimum of the held-out verdicts as these grow in number."""
+
+def thresholds(counts: dict[tuple[str, int, int], int]) -> dict[str, float]:
+    """Cut-offs by language: USUAL, moved toward the F1 optimum of the held-out verdicts as these grow in number.
+
+    ``counts``: documents by language, level and verdict.
+    """
     out = {}
     for lang in ("en", "es"):
-        docs = [(float(net.score(d[3]).max()) if d[3] else 0.0, d[2]) for d in held if d[1] == lang]
-        positive = sum(y for _, y in docs)
+        docs = {(level, y): n for (x, level, y), n in counts.items() if x == lang}
+        positive = sum(n for (_, y), n in docs.items() if y)
         best, at = -1.0, USUAL
-        for t in np.arange(0.5, 0.96, 0.05):
-            hit = sum(y for s, y in docs if s >= t)
-            f1 = 2 * hit / max(1, positive + sum(s >= t for s, _ in docs))
+        for k, t in enumerate(CUTS):
+            hit = sum(n for (level, y), n in docs.items() if y and level > k)
+            f1 = 2 * hit / max(1, positive + sum(n for (level, _), n in docs.items() if level > k))
             if f1 > best + 1e-9 or abs(f1 - best) <= 1e-9 and abs(t - USUAL) < abs(at - USUAL):
                 best, at = f1, float(t)
         trust = positive / (positive + 50)
@@ -293,58 +325,82 @@ def thresholds(net: Network, held: list[tuple[int, str, int, list[tuple[int, ...
     return out
 
 
+def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents on whose verdict most raters agree: doc_id, lang, text, y (1 remove), h (hash), held."""
+    verdicts = labels.where("doc_id IS NOT NULL AND verdict IN ('keep', 'remove')").select("doc_id", "rater", "verdict").distinct().groupBy("doc_id").agg(F.avg(F.when(F.col("verdict") == "remove", 1.0).otherwise(0.0)).alias("r")).where("r <> 0.5")
+    return documents.select("doc_id", "lang", "text").join(verdicts, "doc_id").select("doc_id", "lang", "text", F.expr("CAST(r > 0.5 AS INT)").alias("y"), F.xxhash64("doc_id").alias("h"), F.expr("crc32(CAST(doc_id AS STRING)) % 5 = 0").alias("held"))
+
+
 def labelled_segments(documents: DataFrame, labels: DataFrame) -> list[tuple[int, str, int, list[tuple[int, ...]]]]:
-    """Documents on whose verdict most raters agree, with their segments, at most SEGMENTS segments of all.
+    """What the network is fitted on: judged documents that aren't held out, whole, at most SEGMENTS segments in all.
 
-    Long documents are bounded by their own share, removed ones by none but the bound of all; documents are taken in the
-    order of a hash, so that the sample doesn't depend on the order of rows.
+    Documents are taken in the order of a hash, so that the sample depends neither on the order of rows nor on length,
+    up to the first that doesn't fit any more; only a document of more than SEGMENTS segments is passed over.
     """
-    verdicts = labels.where("doc_id IS NOT NULL AND verdict IN ('keep', 'remove')").select("doc_id", "rater", "verdict").distinct().groupBy("doc_id").agg(F.avg(F.when(F.col("verdict") == "remove", 1.0).otherwise(0.0)).alias("r")).where("r <> 0.5")
-    texts = documents.select("doc_id", "lang", "text").where("text IS NOT NULL").join(verdicts, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    used = judged(documents, labels).where("NOT held AND text IS NOT NULL")
+
+    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "n": [len(segments(t)) for t in b["text"]]})
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for doc, lang, r, h, text in zip(b["doc_id"], b["lang"], b["r"], b["h"], b["text"], strict=True):
-                p = segments(text)
-                if p:
-                    rows.append((doc, language(p, lang), int(r > 0.5), h, [list(s) for s in p[:200]]))
-            yield pd.DataFrame(rows, columns=["doc_id", "lang", "y", "h", "parts"])
-
-    cut = texts.mapInPandas(parts, "doc_id bigint, lang string, y int, h bigint, parts array<array<int>>")
-    rows = cut.orderBy("h", "doc_id").limit(SEGMENTS // 4).collect()
-    out, n = [], 0
-    for r in rows:
-        if n + len(r["parts"]) <= SEGMENTS:
-            out.append((r["doc_id"], r["lang"], r["y"], [tuple(s) for s in r["parts"]]))
-            n += len(r["parts"])
-    return out
+            cut = [segments(t) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": [language(p, x) for p, x in zip(cut, b["lang"], strict=True)], "y": b["y"], "h": b["h"], "parts": [[list(s) for s in p] for p in cut]})
+
+    # Every document that fits has a segment at least, so no more than SEGMENTS documents can. Those too long to be taken
+    # don't count toward that.
+    counted = used.mapInPandas(sizes, "doc_id bigint, h bigint, n bigint").groupBy("h", "doc_id").agg(F.sum("n").alias("n")).where(F.col("n").between(1, SEGMENTS))
+    chosen, n = [], 0
+    for r in counted.orderBy("h", "doc_id").limit(SEGMENTS).collect():
+        n += r["n"]
+        if n > SEGMENTS:
+            break
+        chosen.append((r["doc_id"],))
+    if not chosen:
+        return []
+    ids = documents.sparkSession.createDataFrame(chosen, "doc_id bigint")
+    rows = used.join(F.broadcast(ids), "doc_id").mapInPandas(parts, "doc_id bigint, lang string, y int, h bigint, parts array<array<int>>").collect()
+    rows.sort(key=lambda r: (r["h"], r["doc_id"], r["parts"], r["lang"]))
+    return [(r["doc_id"], r["lang"], r["y"], [tuple(s) for s in r["parts"]]) for r in rows if r["parts"]]
+
+
+def held_counts(net: Network, documents: DataFrame, labels: DataFrame, fitted: list[int]) -> dict[tuple[str, int, int], int]:
+    """All judged documents that the network wasn't fitted on, scored whole: their number by language, level and verdict."""
+    known = documents.sparkSession.sparkContext.broadcast(net.p)
+    ids = documents.sparkSession.createDataFrame([(x,) for x in dict.fromkeys(fitted)], "doc_id bigint")
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = Network.__new__(Network)
+        own.p = known.value
+        for b in batches:
+            cut = [segments(t) for t in b["text"]]
+            yield pd.DataFrame({"lang": [language(p, x) for p, x in zip(cut, b["lang"], strict=True)], "level": levels(worst(own, cut)), "y": b["y"]})
+
+    rest = judged(documents, labels).join(F.broadcast(ids), "doc_id", "left_anti")
+    rows = rest.mapInPandas(scored, "lang string, level int, y int").groupBy("lang", "level", "y").count().collect()
+    return {(r["lang"], r["level"], r["y"]): r["count"] for r in rows}
 
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document's score and flag: doc_id, source, language, score, flagged.
 
-    Texts are read whole. Null and empty texts score 0; without labels the hand-written sentences alone train the
-    network; repeated rows come out once each as they are.
+    Texts are read whole. The network is fitted on a bounded sample of the verdicts, the thresholds on all others. Null
+    and empty texts score 0; without labels the hand-written sentences alone train the network; repeated rows come out
+    once each as they are.
     """
-    net, limits = train(labelled_segments(documents, labels))
+    sample = labelled_segments(documents, labels)
+    net = fit(sample)
+    limits = thresholds(held_counts(net, documents, labels, [d[0] for d in sample]))
     known = documents.sparkSession.sparkContext.broadcast((net.p, limits))
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Network.__new__(Network)
         own.p, cut_at = known.value
         for b in batches:
-            parts, owner, langs = [], [], []
-            for i, (text, lang) in enumerate(zip(b["text"], b["lang"], strict=True)):
-                p = segments(text)
-                langs.append(language(p, lang))
-                parts += p
-                owner += [i] * len(p)
-            best = np.zeros(len(b), np.float32)
-            if parts:
-                distinct = list(dict.fromkeys(parts))
-                p = dict(zip(distinct, own.score(distinct), strict=True))
-                np.maximum.at(best, np.array(owner), np.array([p[s] for s in parts], np.float32))
+            cut = [segments(t) for t in b["text"]]
+            langs = [language(p, x) for p, x in zip(cut, b["lang"], strict=True)]
+            best = worst(own, cut)
             limit = np.array([cut_at[x] for x in langs])
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "language": langs, "score": best.astype(float), "flagged": best >= limit})
 

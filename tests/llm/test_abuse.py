@@ -2,6 +2,7 @@
 
 import pytest
 
+from fieldlog.llm import abuse
 from fieldlog.llm.abuse import language, normalise, score_documents, segments, train
 
 SEEN = None
@@ -38,3 +39,26 @@ def test_documents(spark):
     assert got[3][1]
     assert not got[4][1]
     assert score_documents(df.limit(0), labels.limit(0)).collect() == []
+
+
+def test_verdicts_are_read_whole(spark, monkeypatch):
+    fitted = next(k for k in range(1, 99) if not abuse.held_out(k))
+    docs = [(k, "nice day. " * 300 + "you are a worthless piece of shit.", "en", "s") for k in range(1, 41)] + [(fitted + 1000, None, "en", "s")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    labels = spark.createDataFrame([(d[0], "a", "remove") for d in docs], "doc_id bigint, rater string, verdict string")
+    # Fitting takes whole documents, as many as fit; the end of a long text is there.
+    monkeypatch.setattr(abuse, "SEGMENTS", 1000)
+    sample = abuse.labelled_segments(df, labels)
+    assert [len(d[3]) for d in sample] == [301] * 3
+    assert not any(abuse.held_out(d[0]) for d in sample)
+    # All other verdicts calibrate, and by the worst segment wherever it stands.
+    counts = abuse.held_counts(abuse.fit([]), df, labels, [d[0] for d in sample])
+    assert sum(counts.values()) == len(docs) - len(sample)
+    assert sum(n for (_, level, y), n in counts.items() if level == len(abuse.CUTS) and y) == 40 - len(sample)
+
+
+def test_thresholds_of_counts():
+    # 200 removed documents at 0.6 and no kept one above 0.5: the cut-off goes most of the way down to where F1 is best.
+    low = abuse.thresholds({("en", 3, 1): 200, ("en", 0, 0): 900})
+    assert low["es"] == abuse.USUAL
+    assert low["en"] == pytest.approx(0.8 + 0.8 * (0.6 - 0.8))
