@@ -48,7 +48,7 @@ def _scored(t: Tables) -> DataFrame:
 
 
 query("plays_scored", _scored, None)
-query("xpass_quality", lambda t: folds.pass_quality(_scored(t)), None)
+query("xpass_quality", lambda t: folds.held_out_quality(folds.training_rows(t.ctx)), None)
 query("drive_logit", lambda t: folds.drive_logit(folds.drive_features(t.ctx)), None)
 query("drive_features", lambda t: folds.drive_features(t.ctx), w(CONTEXT, "SELECT * FROM (SELECT season, run_id, game_id, drive_id, offense, arg_min(yardline_100, play_id) AS start, count(*) FILTER (is_pass_attempt OR is_rush_attempt) AS plays, count(*) FILTER (is_success) AS successes, count(*) FILTER (is_rush_attempt AND yards_gained >= 10 OR completion AND yards_gained >= 15) AS explosives, count(*) FILTER (is_penalty) AS penalties, count(*) FILTER (is_sack) AS sacks, max(CASE WHEN offense_points > 0 THEN 1 ELSE 0 END) AS scored FROM ctx WHERE drive_id IS NOT NULL AND offense <> '' GROUP BY 1, 2, 3, 4, 5) WHERE start IS NOT NULL"))
 
