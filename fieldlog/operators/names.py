@@ -61,16 +61,31 @@ def rule_of(name: str, roster: str) -> str | None:
     return None
 
 
+def keys_of(name: str | None, typed: bool) -> list[str]:
+    """Keys of which a typed and a roster name share one at least wherever ``rule_of`` finds a rule.
+
+    The name as it is, its letters, and the first letter of its last token (every rule on last names asks for it). A
+    letter after the name may stand for a suffix, so a typed name that ends in one also has its letters without that.
+    """
+    t = normalized(name)
+    keys = [f"={name}"]
+    if t:
+        keys += ["+" + "".join(t), "^" + t[-1][0]]
+        if typed and len(t) > 1 and len(t[-1]) == 1:
+            keys.append("+" + "".join(t[:-1]))
+    return keys
+
+
 def match_names(names: DataFrame) -> DataFrame:
     """Each typed name of a club and season to its roster name: season, team, pbp_name, canonical, rule, outcome.
 
-    The roster is the set of hand-typed canonical names of the club in the season. Only names that share the first three
-    letters of a token are compared. Of several players under the best rule the one of the same position is chosen,
-    else the name stays ambiguous.
+    The roster is the set of hand-typed canonical names of the club in the season. Names are compared where they share a
+    key, which no pair that a rule accepts can miss. Of several players under the best rule the one of the same position
+    is chosen, else the name stays ambiguous.
     """
-    key = F.pandas_udf(lambda s: pd.Series([sorted({t[:3] for t in normalized(x) if len(t) >= 3}) for x in s]), "array<string>")
-    typed = names.where("trim(pbp_name) <> ''").select("season", "team", "pbp_name", "position").dropDuplicates(["season", "team", "pbp_name"]).withColumn("k", F.explode_outer(key("pbp_name")))
-    roster = names.where("trim(canonical_name) <> ''").groupBy("season", "team", F.trim("canonical_name").alias("canonical")).agg(F.max("position").alias("its")).withColumn("k", F.explode(key("canonical")))
+    key = lambda typed: F.pandas_udf(lambda s: pd.Series([keys_of(x, typed) for x in s]), "array<string>")
+    typed = names.where("trim(pbp_name) <> ''").select("season", "team", "pbp_name", "position").dropDuplicates(["season", "team", "pbp_name"]).withColumn("k", F.explode(key(True)("pbp_name")))
+    roster = names.where("trim(canonical_name) <> ''").groupBy("season", "team", F.trim("canonical_name").alias("canonical")).agg(F.max("position").alias("its")).withColumn("k", F.explode(key(False)("canonical")))
     pairs = typed.join(roster, ["season", "team", "k"]).select("season", "team", "pbp_name", "position", "canonical", "its").distinct()
     rule = F.pandas_udf(lambda a, b: pd.Series([rule_of(x, y) for x, y in zip(a, b, strict=True)], dtype=object), "string")
     hits = pairs.withColumn("rule", rule("pbp_name", "canonical")).where("rule IS NOT NULL").withColumn("order", F.array_position(F.array(*map(F.lit, RULES)), F.col("rule")))

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from fieldlog.operators import silver
-from fieldlog.operators.names import close, match_names, normalized, rule_of
+from fieldlog.operators.names import RULES, close, match_names, normalized, rule_of
 from fieldlog.operators.play_text import parse_plays
 
 CASES = [
@@ -51,6 +51,18 @@ def test_match_names_outcomes(spark):
     assert got["Zed Nobody"] == ("no_match", None)
 
 
+def test_match_names_misses_no_pair(spark):
+    """Candidates are what comparing every typed name with the whole roster finds."""
+    typed = ["S. Toromwell", "D. Hulaado", "O. Obaedar", "S.Utoilberg", "Bo Li", "B. Li", "Li", "Li, Bo", "Bo Li J", "BoLi", "Al Ng Jr.", "A. Ng", "Ng", "李", "J. O'Ra", "V", "Jo Li B", "T. Obedar"]
+    roster = ["Stephen Tromwell", "Dante Huulaado", "Orion Obedar", "Sebastián Uoilberg", "Bo Li", "Al Ng", "Ann Ng", "李", "Joe Ora", "B Oli"]
+    rows = [("s", "t", x, "", None) for x in typed] + [("s", "t", x, x, "P") for x in roster]
+    got = {r["pbp_name"]: (r["rule"], r["candidates"]) for r in match_names(spark.createDataFrame(rows, "season string, team string, pbp_name string, canonical_name string, position string")).collect()}
+    for name in {*typed, *roster}:
+        rules = [r for x in roster if (r := rule_of(name, x))]
+        best = min(rules, key=RULES.index, default=None)
+        assert got[name] == (best, rules.count(best) if best else 0), name
+
+
 def test_players_json(spark):
     p = {"individuals": [{"playerId": "1", "fullName": "Joe", "team": "A", "position": "QB", "stats": {"pa": "10", "pct": "55.5%", "x": "-"}}, {"playerId": "2", "fullName": "Ole", "team": "A", "position": "OL", "stats": {}}]}
     raw = spark.createDataFrame([("r", "s", json.dumps(p)), ("r", "s", "broken"), ("r", "s", None)], "run_id string, season string, j string")
