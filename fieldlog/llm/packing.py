@@ -90,9 +90,10 @@ class Filling:
 def reduce(sizes: dict[int, int], capacity: int, filling: Filling) -> dict[int, int]:
     """Martello-Toth reduction: fixes dominating sets and returns the items left.
 
-    For the largest item j: if no item fits beside it, it is alone; if at most one fits, it takes the largest that
+    For each size j, the largest first: if no item fits beside it, it is alone; if at most one fits, it takes the largest that
     does; if at most two fit and the largest single i that fits is at least as large as the best pair together, it
-    takes i; if the best pair fills the container and no other single or pair has a larger member, it takes the pair.
+    takes i; if the best pair fills the container and no other single or pair has a larger member, it takes the pair. A size to which no rule
+    applies is left and stays among what may go with smaller ones.
     """
     left = dict(sizes)
     for j in sorted(sizes, reverse=True):
@@ -132,28 +133,33 @@ def reduce(sizes: dict[int, int], capacity: int, filling: Filling) -> dict[int,
             if fit == 2:
                 pair = best_pair(left, j, space, order)
                 if pair is None or best >= sum(pair):
-                    f = filling.take_new(1)
-                    filling.put(j, f, 1, 2 if best == j else 1)
+                    n = alike(left, (j, best))
+                    f = filling.take_new(n)
+                    filling.put(j, f, n, 2 if best == j else 1)
                     if best != j:
-                        filling.put(best, f, 1)
-                        left[best] -= 1
-                    filling.keep(space - best, f, 1)
-                    left[j] -= 2 if best == j else 1
+                        filling.put(best, f, n)
+                        left[best] -= n
+                    filling.keep(space - best, f, n)
+                    left[j] -= n * (2 if best == j else 1)
                     continue
                 a, b = pair
                 halves = max((k for k in order if 2 * k <= space), default=0)
                 if sum(pair) == space and best <= max(pair) and halves <= min(pair):
-                    f = filling.take_new(1)
-                    filling.put(j, f, 1)
-                    filling.put(a, f, 1)
-                    filling.put(b, f, 1)
-                    for k in (j, a, b):
-                        left[k] -= 1
+                    n = alike(left, (j, a, b))
+                    f = filling.take_new(n)
+                    for k in dict.fromkeys((j, a, b)):
+                        filling.put(k, f, n, (j, a, b).count(k))
+                        left[k] -= n * (j, a, b).count(k)
                     continue
-            return {k: n for k, n in left.items() if n}
+            break  # no rule for this size: its items stay among the others of smaller ones
     return {k: n for k, n in left.items() if n}
 
 
+def alike(left: dict[int, int], members: tuple[int, ...]) -> int:
+    """How many containers of these members surely follow one another: as long as four more of each size are left, no rule sees a difference."""
+    return max(1, min((left[k] - 4) // members.count(k) for k in members))
+
+
 def best_pair(left: dict[int, int], j: int, space: int, order: list[int]) -> tuple[int, int] | None:
     """Two other items that fill the space best."""
     best, found, lo, hi = -1, None, 0, len(order) - 1
