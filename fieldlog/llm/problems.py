@@ -40,9 +40,9 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def mapped_values(spark: SparkSession, folder: str) -> DataFrame:
     plays, walk = table(spark, folder, "plays"), table(spark, folder, "prefix_crosswalk")
-    typed = plays.select("game_id", F.col("penalty_team").alias("raw_value"), F.lit("penalty_team").alias("field_name")).where("raw_value is not null").distinct()
+    typed = plays.select("game_id", F.col("penalty_team").alias("raw_value"), F.lit("plays.penalty_team").alias("field_name")).where("raw_value is not null").distinct()
     for c in ("prefix_a", "canonical_a"):
-        typed = typed.unionByName(walk.select("game_id", F.col(c).alias("raw_value"), F.lit(c).alias("field_name")))
+        typed = typed.unionByName(walk.select("game_id", F.col(c).alias("raw_value"), F.lit(f"prefix_crosswalk.{c}").alias("field_name")))
     sides = plays.select("game_id", "home_team", "away_team").distinct().select("game_id", F.explode(F.array("home_team", "away_team")).alias("club"))
     context = sides.unionByName(walk.select("game_id", F.explode(F.array("team_1", "team_2")).alias("club")))
     return map_values(typed, table(spark, folder, "team_list"), context)
