@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.llm.forms import SUFFIXES, codes, words
-from fieldlog.session import small
+from fieldlog.session import cut, small
 
 #: Soft TF-IDF that an entry outside the value's game must reach, alone.
 ENOUGH = 0.8
@@ -102,6 +102,7 @@ def vocabulary(entries: DataFrame) -> DataFrame:
     """
     made = F.pandas_udf(lambda names, nicks: pd.Series([[dict(zip(("word", "slot", "weight", "least"), f, strict=True)) for f in forms(a, b)] for a, b in zip(names, nicks, strict=True)]), FORM)
     rows = entries.select("entry", F.explode(made("name", "nick")).alias("f")).select("entry", "f.*")
+    rows = cut(rows)
     n = entries.agg(F.count("*").alias("n_entries"))
     idf = rows.groupBy("word").agg(F.countDistinct("entry").alias("df")).join(F.broadcast(n)).select("word", (1 + F.log(F.col("n_entries") / F.col("df"))).alias("idf"))
     rows = rows.join(idf, "word")
@@ -125,7 +126,9 @@ def soft_tfidf(values: DataFrame, known: DataFrame) -> DataFrame:
     tokens = values.withColumn("t", F.when(F.size(telling) > 0, telling).otherwise(split_words("raw_value")))
     docs = tokens.select("raw_value", F.posexplode(F.expr("CASE WHEN size(t) > 1 THEN array(array_distinct(t), array(array_join(t, ''))) ELSE array(t) END")).alias("doc", "t")).select("raw_value", "doc", F.size("t").alias("n_tokens"), F.explode("t").alias("token"))
     words_ = known.groupBy("word").agg(F.max("idf").alias("idf"), F.min("least").alias("least"))
+    docs = cut(docs)
     near = neighbours(docs.select("token").distinct(), words_.select("word")).join(small(words_), "word").where("similarity = 1 OR length(token) >= least")
+    near = cut(near)
     weights = near.groupBy("token").agg(F.max_by("idf", F.struct("similarity", "idf")).alias("w"))
     rarest = known.agg(F.coalesce(F.max("idf"), F.lit(1.0)).alias("top"))
     weighed = docs.join(weights, "token", "left").join(F.broadcast(rarest)).withColumn("w", F.coalesce("w", "top"))
@@ -152,7 +155,9 @@ def map_values(values: DataFrame, reference: DataFrame, context: DataFrame) -> D
     listed = reference.where("team_no is not null and trim(team_name) <> ''").groupBy(key("team_name").alias("entry")).agg(F.min(F.col("team_no").cast("bigint")).alias("team_no"), F.min("team_name").alias("name"), F.min("mascot").alias("nick"))
     clubs = context.select("game_id", key("club").alias("entry"), F.col("club").alias("name")).where("entry <> ''").groupBy("game_id", "entry").agg(F.min("name").alias("name"))
     entries = clubs.groupBy("entry").agg(F.min("name").alias("name")).join(listed.select("entry", "team_no", F.col("name").alias("listed"), "nick"), "entry", "full_outer").select("entry", F.coalesce("team_no", F.lit(0).cast("bigint")).alias("team_no"), F.coalesce("listed", "name").alias("name"), "nick")
-    scored = soft_tfidf(values.select("raw_value").distinct(), vocabulary(entries)).join(small(entries.select("entry", "team_no")), "entry")
+    # Tables read more than once below are written once: the entries, what may be written for them, and all scores.
+    entries = cut(entries)
+    scored = cut(soft_tfidf(values.select("raw_value").distinct(), cut(vocabulary(entries))).join(small(entries.select("entry", "team_no")), "entry"))
 
     best = scored.where("team_no > 0").groupBy("raw_value").agg(F.max("telling").alias("list_score"), F.max_by("team_no", F.struct("telling", -F.col("team_no"))).alias("list_no"), F.collect_list("telling").alias("all"))
     best = best.select("raw_value", "list_score", "list_no", F.size(F.filter("all", lambda x: x >= F.col("list_score") - 1e-9)).alias("list_ties"))

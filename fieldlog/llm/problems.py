@@ -11,6 +11,7 @@ from fieldlog.llm.mixing import mix, share_report
 from fieldlog.llm.packing import fill_report, pack, token_counts
 from fieldlog.llm.people import link_names, person_pairs
 from fieldlog.llm.truncation import club_cut, text_cut
+from fieldlog.session import cut
 from fieldlog.sources.tables import table
 
 PLAY = ["run_id", "game_id", "play_id"]
@@ -40,10 +41,12 @@ def p3_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def mapped_values(spark: SparkSession, folder: str) -> DataFrame:
     plays, walk = table(spark, folder, "plays"), table(spark, folder, "prefix_crosswalk")
-    typed = plays.select("game_id", F.col("penalty_team").alias("raw_value"), F.lit("plays.penalty_team").alias("field_name")).where("raw_value is not null").distinct()
+    # One scan of the plays gives both what was typed in a game and its clubs.
+    seen = cut(plays.select("game_id", "penalty_team", "home_team", "away_team").distinct())
+    typed = seen.select("game_id", F.col("penalty_team").alias("raw_value"), F.lit("plays.penalty_team").alias("field_name"))
     for c in ("prefix_a", "canonical_a"):
         typed = typed.unionByName(walk.select("game_id", F.col(c).alias("raw_value"), F.lit(f"prefix_crosswalk.{c}").alias("field_name")))
-    sides = plays.select("game_id", "home_team", "away_team").distinct().select("game_id", F.explode(F.array("home_team", "away_team")).alias("club"))
+    sides = seen.select("game_id", F.explode(F.array("home_team", "away_team")).alias("club"))
     context = sides.unionByName(walk.select("game_id", F.explode(F.array("team_1", "team_2")).alias("club")))
     return map_values(typed, table(spark, folder, "team_list"), context)
 
