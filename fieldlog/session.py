@@ -68,7 +68,8 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """The frame laid out by ``by`` over as many tasks as shuffles have, also where its few bytes would be put into one.
 
-    For rows on which Python works long: adaptive execution goes by bytes and leaves an explicit number alone.
+    For rows on which a task works long: adaptive execution goes by bytes and leaves an explicit number alone. The layout is
+    by a hash of the columns, for rows already laid out by the columns themselves would stay where they are.
     """
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *by)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64(*by))
