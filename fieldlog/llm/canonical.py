@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.llm.forms import SUFFIXES, codes, words
-from fieldlog.session import cut, small
+from fieldlog.session import cut, small, spread
 
 #: Soft TF-IDF that an entry outside the value's game must reach, alone.
 ENOUGH = 0.8
@@ -24,6 +24,8 @@ CAN_MEAN = 0.3
 AHEAD = 0.2
 #: Weight of a form that needs an added word or letters (Hathern: HC), or that has lost its end, against the form itself.
 ADDED = 0.9
+#: Words up to which a vocabulary is broadcast, some hundred reduced forms each.
+VOCABULARY = 20_000
 #: Words that may go with any name and tell nothing.
 GENERAL = sorted({s[:k] for s in ("COLLEGE", "COMMUNITY", "JUNIOR") for k in range(3, 10)} | {"CC", "JC"})
 WHOLE = -1
@@ -79,10 +81,12 @@ def neighbours(left: DataFrame, right: DataFrame) -> DataFrame:
     Both frames have one column of distinct non-empty tokens; pairs come from shared reduced forms only.
     """
     # A token more than two letters longer than the longest word can't be near any.
-    longest = right.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0]
-    left = left.where(F.length("token") <= longest + 2)
+    most = right.agg(F.coalesce(F.max(F.length("word")), F.lit(0)).alias("longest"), F.count("*").alias("n")).first()
+    left = spread(left.where(F.length("token") <= most["longest"] + 2), "token")
     a = left.select("token", F.explode(F.expr(deletes("token"))).alias("reduced"))
     b = right.select("word", F.explode(F.expr(deletes("word"))).alias("reduced"))
+    # Spark takes exploded rows for few: a vocabulary is broadcast up to a counted size and merged by shuffle beyond it.
+    b = F.broadcast(b) if most["n"] <= VOCABULARY else b.hint("merge")
     pairs = a.join(b, "reduced").select("token", "word").distinct()
     plain = pairs.withColumn("d", F.levenshtein("token", "word"))
     swaps = plain.withColumn("d", F.expr(f"CASE WHEN d BETWEEN 2 AND 3 AND length(token) >= 4 THEN least(d, {SWAPPED}) ELSE d END"))
