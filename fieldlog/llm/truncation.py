@@ -1,8 +1,10 @@
 """Text cut off by field limits or in transfer.
 
-For every source a length distribution is fitted by maximum likelihood with the values at a candidate limit taken as
-right-censored; where a limit explains the lengths far better than none, a value that fills it has a high prior
-probability of being cut. That prior is combined with what the ending of the value tells.
+The ending of every value gives a likelihood ratio that it was cut: learned for texts from the endings of closed entries and
+of the same entries stopped at random places, and from how surely a source closes its entries; for names of clubs from
+whether they stop inside a word of a name. For every source a right-censored length distribution is then fitted by maximum
+likelihood at each candidate limit. A value that fills the limit of its source has a high prior probability of being
+cut, any other the small one of a loss in transfer; prior and ending together decide.
 """
 
 from __future__ import annotations
@@ -15,18 +17,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.llm.forms import SUFFIXES, codes, near, osa, prefix_edits, words
-from fieldlog.session import small
+from fieldlog.session import cut, small, spread
 
 #: Share of values cut in transfer at any place, before their ending is looked at.
 HAZARD = 0.003
 #: Characters before a limit in which a cut value may end, blanks and marks at the cut being dropped.
 BAND = 3
-#: Lengths beyond this are counted together when a source's distribution is fitted.
-LONGEST = 4096
+#: How cut values spread over the band, from the limit down.
+SPREAD = (0.76, 0.18, 0.04, 0.02)
+#: Most of a source's values that may be lost in transfer.
+STRAY = 0.02
 #: Gain in log-likelihood a limit needs.
 GAIN = 10.0
-#: Chance that a value cut anywhere happens to end as a finished one does.
+#: Chance that an entry cut anywhere happens to end with a closing mark.
 LUCK = 0.02
+#: Evidence of dots after an entry: they stand for what is missing.
+DOTS = 8.0
+#: Bound of the evidence (log-likelihood ratio) that the shape of an ending can give.
+BOUND = 10.0
+#: Evidence from which an ending counts as cut where limits are looked for.
+SURE = 3.0
+#: Characters of an ending whose last three words and marks are its shape.
+ENDING = 80
+#: A word that is among the last three of this share of endings is told apart, any other only by its letters' case; one
+#: with a capital, as names and codes have, must be more frequent.
+TOLD, TOLD_CAPITAL = 5e-4, 1e-2
+#: Endings that a shape needs before it is read by itself; a rarer one is read by its last two words or the last alone.
+SEEN = 50
+#: What is added to counts of endings.
+FEW = 0.2
+#: Lengths up to this are counted one by one in a fit, longer ones in steps of a thousandth where no ending looks cut.
+EXACT = 2048
 
 
 def _normal_cdf(x: np.ndarray) -> np.ndarray:
@@ -37,64 +58,73 @@ def _normal_cdf(x: np.ndarray) -> np.ndarray:
     return np.where(x >= 0, (1 + y) / 2, (1 - y) / 2)
 
 
-def censored_fit(lengths: np.ndarray, counts: np.ndarray, limit: float | None) -> tuple[float, float, float]:
-    """Mean and deviation of log length and the log-likelihood, by EM over the values right-censored at ``limit``.
-
-    ``counts`` of lengths above the band below the limit count as censored there; without limit none is.
-    """
-    logs, n = np.log(np.maximum(lengths, 1)), counts.sum()
-    held = np.zeros(len(lengths), bool) if limit is None else lengths > limit - BAND - 1
-    mu = float((logs * counts).sum() / n)
-    sd = max(0.05, math.sqrt(float((((logs - mu) ** 2) * counts).sum() / n)))
-    at = math.log(max(1.0, (limit or 1) - BAND))
-    c = counts[held].sum()
-    for _ in range(40 if c else 1):
-        if not c:
-            break
+def censored_fit(lengths: np.ndarray, whole: np.ndarray, held: float, limit: float | None) -> tuple[float, float]:
+    """Mean and deviation of log length by maximum likelihood: ``whole`` counted values, and ``held`` censored at ``limit`` (EM)."""
+    logs, n = np.log(np.maximum(lengths, 1)), whole.sum() + held
+    first = max(whole.sum(), 1e-9)
+    mu = float((logs * whole).sum() / first)
+    sd = max(0.05, math.sqrt(float((((logs - mu) ** 2) * whole).sum() / first)))
+    at = math.log(max(1.0, limit or 1))
+    for _ in range(40 if held else 0):
         a = (at - mu) / sd
         tail = max(1e-12, 1 - float(_normal_cdf(np.array(a))))
-        lam = math.exp(-a * a / 2) / math.sqrt(2 * math.pi) / tail
-        mean, square = mu + sd * lam, (mu + sd * lam) ** 2 + sd * sd * (1 + a * lam - lam * lam)
-        new = float(((logs * counts)[~held].sum() + c * mean) / n)
-        var = float((((logs**2) * counts)[~held].sum() + c * square) / n) - new * new
+        lam = min(math.exp(-a * a / 2) / math.sqrt(2 * math.pi) / tail, a + 1 if a > 0 else 4.0)
+        mean, square = mu + sd * lam, (mu + sd * lam) ** 2 + sd * sd * max(0.0, 1 + a * lam - lam * lam)
+        new = float(((logs * whole).sum() + held * mean) / n)
+        var = float((((logs**2) * whole).sum() + held * square) / n) - new * new
         mu, sd = new, max(0.05, math.sqrt(max(var, 1e-6)))
-    cell = lambda a, b: np.maximum(1e-12, _normal_cdf((np.log(b) - mu) / sd) - _normal_cdf((np.log(np.maximum(a, 0.5)) - mu) / sd))
-    free = ~held
-    ll = float((counts[free] * np.log(cell(lengths[free] - 0.5, lengths[free] + 0.5))).sum())
-    if c:
-        ll += float(c * math.log(max(1e-12, 1 - float(_normal_cdf(np.array((at - mu) / sd))))))
-    return mu, sd, ll
+    return mu, sd
 
 
 def fit_source(key: tuple, hist: pd.DataFrame) -> pd.DataFrame:
-    """The likeliest limit of a source, its share of cut values in the band, and how often finished values lack a mark."""
-    open_n, n = float(hist["decisive_open"].sum()), float(hist["decisive"].sum())
-    hist = hist.assign(length=hist["length"].clip(1, LONGEST)).groupby("length", as_index=False)[["n", "unclosed"]].sum()
-    lengths, counts = hist["length"].to_numpy(float), hist["n"].to_numpy(float)
-    total, best, limit, share = counts.sum(), GAIN, None, 0.0
-    if total >= 50:
-        above = counts[::-1].cumsum()[::-1] - counts
-        peaks = np.flatnonzero((above <= 0.002 * total) & (lengths >= 4))
-        for L in lengths[peaks[:12]]:
-            band = (lengths > L - BAND - 1) & (lengths <= L)
-            mu, sd, _ = censored_fit(lengths, counts, L)
-            p = lambda a, b: max(1e-9, float(_normal_cdf(np.array((math.log(b) - mu) / sd)) - _normal_cdf(np.array((math.log(max(a, 0.5)) - mu) / sd))))  # noqa: B023, E731
-            inside, beyond = p(L - BAND - 0.5, L + 0.5), max(1e-9, 1 - float(_normal_cdf(np.array((math.log(L + 0.5) - mu) / sd))))
-            k, t = counts[band].sum(), counts[lengths > L].sum()
-            # The values of the band and beyond under a limit (all of the tail ends in the band) and without one.
-            gain = (k * math.log((inside + beyond) / inside) - t * math.log(beyond / 1e-3)) if t else k * math.log((inside + beyond) / inside)
-            free = total * (inside + beyond)
-            # Without limit the tail would be spread beyond it: its emptiness weighs as much as its expected size.
-            gain = min(gain, total * beyond - t * 5)
-            if k >= 0.5 * free * beyond / (inside + beyond) and gain > best:
-                best, limit, share = gain, L, float(np.clip(beyond / (inside + beyond), 0.02, 0.98))
-    return pd.DataFrame({"source": [key[0]], "field": [key[1]], "cut_limit": [limit], "band_share": [share], "miss": [(open_n + 0.5) / (n + 1.0)]})
+    """The likeliest limit of a source and the share of cut values in its band; none where no limit gains enough.
+
+    ``hist``: length, n, n_open (of these, with an ending that looks cut). Complete values have log-normal lengths; one
+    longer than the limit is cut there with a probability of its own, for some pass uncut; endings that look cut lie
+    anywhere else at the rate of transfer losses. Every length at which endings look cut is a candidate.
+    """
+    hist = hist.groupby("length", as_index=False)[["n", "n_open"]].sum().sort_values("length")
+    lengths, opened = hist["length"].to_numpy(float), hist["n_open"].to_numpy(float)
+    whole = hist["n"].to_numpy(float) - opened
+    total = whole.sum() + opened.sum()
+    best, limit, share = GAIN, None, 0.0
+
+    def log_likelihood(mu: float, sd: float, at: float | None, rate: float, stray: float) -> float:
+        cell = np.maximum(1e-12, _normal_cdf((np.log(lengths + 0.5) - mu) / sd) - _normal_cdf((np.log(np.maximum(lengths - 0.5, 0.5)) - mu) / sd))
+        tail = 0.0 if at is None else max(1e-12, 1 - float(_normal_cdf(np.array((math.log(at + 0.5) - mu) / sd))))
+        kept = cell if at is None else np.where(lengths > at, cell * (1 - rate), cell)
+        spread_at = np.zeros(len(lengths)) if at is None else np.select([lengths == at - i for i in range(BAND + 1)], SPREAD, 0.0)
+        # A loss at a random place of a longer value: as likely at each length as there are longer values.
+        lost = np.maximum(1 - _normal_cdf((np.log(lengths) - mu) / sd), 1e-9) / math.exp(mu + sd * sd / 2)
+        return float((whole * np.log(np.maximum(kept, 1e-15))).sum() + (opened * np.log(rate * tail * spread_at + stray * lost)).sum())
+
+    if total and opened.sum():
+        mu, sd = censored_fit(lengths, whole + opened, 0.0, None)
+        strays = lambda n: min(STRAY, (n + 0.5) / (total + 1))
+        free = log_likelihood(mu, sd, None, 0.0, strays(opened.sum()))
+        for at in lengths[opened > 0]:
+            band = (lengths > at - BAND - 1) & (lengths <= at)
+            held, passed = opened[band].sum(), whole[lengths > at].sum()
+            if held < passed:  # what most values pass is no limit
+                continue
+            mu, sd = censored_fit(lengths, whole, held, at)
+            gain = log_likelihood(mu, sd, at, min(1 - 1e-6, held / (held + passed)), strays(opened.sum() - held)) - free
+            if gain > best:
+                best, limit = gain, float(at)
+                share = float(np.clip(held / (held + whole[band].sum()), 0.02, 0.98))
+    return pd.DataFrame({"source": [key[0]], "cut_limit": [limit], "band_share": [share]})
 
 
 def length_limits(hist: DataFrame) -> DataFrame:
-    """Fits of all sources. ``hist``: source, field, length, n, unclosed, decisive, decisive_open. At most LONGEST rows a source reach a task."""
-    hist = hist.withColumn("length", F.least("length", F.lit(LONGEST))).groupBy("source", "field", "length").agg(*(F.sum(c).alias(c) for c in ("n", "unclosed", "decisive", "decisive_open")))
-    return hist.groupBy("source", "field").applyInPandas(fit_source, "source string, field string, cut_limit double, band_share double, miss double")
+    """Limits of all sources. ``hist``: source, length, n, n_open.
+
+    A source's lengths reach one task: those up to EXACT or at which endings look cut one by one, others in steps.
+    """
+    step = F.expr("length - length % greatest(1, CAST(pow(10, floor(log10(length)) - 3) AS INT))")
+    kept = F.when((F.col("length") <= EXACT) | (F.col("n_open") > 0), F.col("length")).otherwise(step)
+    rows = hist.groupBy("source", "length").agg(F.sum("n").alias("n"), F.sum("n_open").alias("n_open"))
+    rows = rows.groupBy("source", kept.cast("int").alias("length")).agg(F.sum("n").alias("n"), F.sum("n_open").alias("n_open"))
+    return rows.groupBy("source").applyInPandas(fit_source, "source string, cut_limit double, band_share double")
 
 
 def logit(p: Column) -> Column:
@@ -108,77 +138,120 @@ def prior(length: Column) -> Column:
     return logit(F.when(inside, F.greatest(F.col("band_share"), F.lit(HAZARD))).otherwise(HAZARD))
 
 
-#: How an entry of the log can end when it is complete (fixed phrases of the play-by-play format).
-CODE, NAME = r"[A-Z][A-Z0-9 .'~-]*", r"(?:#\d+ ?)?\p{Lu}[\p{L}.' ,-]*[\p{L}.]"
-FINISHED = (
-    rf"(?:\)|(?: to the| at the| to| at) {CODE}\d|, ?(?:out of bounds|downed|touchback|TOUCHDOWN|SAFETY|thrown away)|(?:GOOD|MISSED|FAILED|BLOCKED|NO GOOD)"
-    rf"|Official measurement|call stands|call overturned|by the chains|pass incomplete|declined|offsetting|off-setting|no play|NO PLAY|clock \d?\d:\d\d|1ST DOWN {CODE}|Timeout {CODE}"
-    rf"|(?:incomplete to|fair catch by|hurry by|broken up by|recovered by \S+) {NAME})$"
-)
-
-
 def text_parts(text: Column) -> dict[str, Column]:
     """dots: ends in dots that stand for what is missing; core: text without them; closed: has a closing mark; hanging: an open bracket."""
     t = F.rtrim(text)
-    dots = t.endswith("...") | t.endswith("…")
-    core = F.rtrim(F.when(dots, F.regexp_replace(t, r"(?:\.{3,}|…)+$", "")).otherwise(t))
+    dots = t.endswith("..") | t.endswith("…")
+    core = F.rtrim(F.when(dots, F.regexp_replace(t, r"(?:\.{2,}|…)+$", "")).otherwise(t))
     closed = ~dots & (t.endswith(".") | t.endswith("!") | t.endswith("?") | t.endswith("]"))
     hanging = F.length(F.substring_index(core, "(", -1)) < F.length(F.substring_index(core, ")", -1))
     return {"dots": dots, "core": core, "closed": closed, "hanging": hanging}
 
 
+def last_words(text: Column) -> Column:
+    """The last three words, numbers and marks of a text, the last one first."""
+    t = F.regexp_extract_all(F.substring(text, -ENDING, ENDING), F.lit(r"\p{L}[\p{L}\p{M}'’-]*|\d+|[^\s\p{L}\d]"), F.lit(0))
+    return F.slice(F.reverse(t), 1, 3)
+
+
+def shape(last: str, hanging: str, told: list[str], most: int) -> Column:
+    """The shape of an ending: its last words as they are or by case, and whether a bracket is open."""
+
+    def kind(i: int) -> Column:
+        x = F.get(last, F.lit(i))
+        by_case = F.when(x.rlike(r"^\d"), "9").when(~x.rlike(r"^\p{L}"), x).when(x == F.upper(x), "A").when(F.substring(x, 1, 1) == F.upper(F.substring(x, 1, 1)), "N").otherwise("w")
+        return F.when(x.isNull(), "").when(x.isin(told), x).otherwise(by_case)
+
+    return F.concat_ws(" ", *(kind(i) for i in range(most)), F.when(F.col(hanging), "(").otherwise(""))
+
+
+def ending_evidence(parted: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Log-likelihood ratios of shapes (shape, ratio), and the words that shapes tell apart.
+
+    ``parted``: closed, last, hanging (of the text without its mark), and stop_last, stop_hanging of the same text stopped
+    at a place that depends on its hash. Entries that are closed, and have no open bracket, are taken as complete. At most 6 / TOLD words and the
+    shapes of these are told apart, however many texts there are.
+    """
+    closed = parted.where("closed AND NOT hanging")
+    n = closed.count()
+    counts = closed.select(F.explode(F.concat("last", "stop_last")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    often = F.when(F.col("w") == F.lower("w"), TOLD).otherwise(TOLD_CAPITAL) * n
+    told = sorted(r["w"] for r in counts.where(F.col("n") >= F.greatest(often, F.lit(SEEN))).select("w").collect())
+    made = []
+    for most in (1, 2, 3):
+        both = closed.select(F.explode(F.array(F.struct(shape("last", "hanging", told, most).alias("s"), F.lit(1).alias("whole")), F.struct(shape("stop_last", "stop_hanging", told, most).alias("s"), F.lit(0).alias("whole")))).alias("x"))
+        made.append(both.groupBy("x.s").agg(F.sum("x.whole").alias("whole"), F.count("*").alias("n")).select(F.lit(most).alias("most"), F.col("s").alias("shape"), "whole", "n"))
+    rows = made[0].unionByName(made[1]).unionByName(made[2]).where((F.col("n") >= SEEN) | (F.col("most") == 1))
+    ratio = F.log((F.col("n") - F.col("whole") + FEW) / (F.col("whole") + FEW))
+    return rows.select("most", "shape", F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND), ratio)).alias("ratio")), told
+
+
 def text_cut(rows: DataFrame, keys: list[str], source: str, column: str) -> DataFrame:
     """Rows whose text stops before it is finished: keys, source, posterior.
 
-    Lengths are counted over each source's distinct texts. Null and blank texts are never cut; a source with fewer
-    than 50 distinct texts gets no limit and is judged by endings alone; very long texts are read whole. Repeated rows
-    come out once.
+    Null and blank texts are never cut; texts without any closed one among them are judged by their dots and open
+    brackets alone; very long texts count by their whole length. Repeated rows come out once. Rows without a source
+    are a source of their own.
     """
-    base = rows.select(*keys, F.col(source).alias("source"), F.col(column).alias("__t")).where(F.length(F.trim("__t")) > 0)
+    base = rows.select(*keys, F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(column).alias("__t")).where(F.length(F.trim("__t")) > 0)
     p = text_parts(F.col("__t"))
-    parted = base.select("source", "__t", p["dots"].alias("dots"), p["core"].alias("core"), p["closed"].alias("closed"), F.xxhash64("__t").alias("h"))
-    last = F.substring("core", -1, 1)
-    sure = ~F.col("dots") & (F.col("closed") | (last == ")") | last.between("0", "9"))
-    facts = parted.groupBy("source", F.length("core").alias("length"), "h").agg(F.max(F.when(~F.col("closed"), 1).otherwise(0)).alias("unclosed"), F.max(F.when(sure, 1).otherwise(0)).alias("decisive"), F.max(F.when(sure & ~F.col("closed"), 1).otherwise(0)).alias("decisive_open"))
-    hist = facts.groupBy("source", "length").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in ("unclosed", "decisive", "decisive_open"))).withColumn("field", F.lit(column))
-    fits = length_limits(hist).drop("field")
-
-    # Only entries without a closing mark, or with an open bracket, need a closer look at their ending.
-    open_rows = base.select("*", *(v.alias(k) for k, v in p.items())).where(~F.col("closed") | F.col("hanging"))
-    finished = F.col("core").rlike(FINISHED)
-    by_mark = F.log(F.lit(LUCK) / F.greatest(F.col("miss"), F.lit(1e-5)))
-    ending = F.when(F.col("hanging"), 9.0).when(F.col("dots"), 9.0).when(~finished, 9.0).otherwise(by_mark)
-    joined = open_rows.join(small(fits), "source")
-    score = joined.withColumn("__logit", prior(F.length("core")) + ending)
-    return score.where("__logit > 0").groupBy(*keys, "source").agg(F.max(1 / (1 + F.exp(-F.col("__logit")))).alias("posterior"))
+    bare = F.when(p["closed"], F.rtrim(F.regexp_replace(p["core"], r"[.!?\]]+$", ""))).otherwise(p["core"])
+    stop = F.rtrim(F.substring(bare, F.lit(1), F.greatest(F.lit(1), F.pmod(F.xxhash64("__t"), F.greatest(F.length(bare) - 1, F.lit(1))).cast("int"))))
+    hanging = lambda c: F.length(F.substring_index(c, "(", -1)) < F.length(F.substring_index(c, ")", -1))
+    parted = base.select(*keys, "source", F.length(p["core"]).alias("length"), p["dots"].alias("dots"), p["closed"].alias("closed"), p["hanging"].alias("hanging"), bare.alias("bare"), stop.alias("stop"))
+    # Tokens are found once; what is written has no texts any more.
+    parted = cut(parted.select(*keys, "source", "length", "dots", "closed", "hanging", last_words(F.col("bare")).alias("last"), F.when(F.col("closed"), last_words(F.col("stop"))).alias("stop_last"), (F.col("closed") & hanging(F.col("stop"))).alias("stop_hanging")))
+    ratios, told = ending_evidence(parted)
+    ratios = cut(ratios)
+    looked = parted.select(*keys, "source", "length", "dots", "closed", "hanging", *(shape("last", "hanging", told, m).alias(f"s{m}") for m in (1, 2, 3)))
+    for m in (1, 2, 3):
+        looked = looked.join(small(ratios.where(F.col("most") == m).select(F.col("shape").alias(f"s{m}"), F.col("ratio").alias(f"r{m}"))), f"s{m}", "left")
+    # The longest shape known decides; where it speaks for a cut, a shorter one with more endings may do so more surely.
+    by_shape = F.coalesce("r3", "r2", "r1", F.lit(0.0))
+    by_shape = F.when(by_shape > 0, F.greatest("r3", "r2", "r1")).otherwise(by_shape)
+    # How surely a source closes its entries is learned from those whose ending looks complete.
+    looked = cut(looked.select(*keys, "source", "length", "dots", "closed", by_shape.alias("by_shape")))
+    marks = looked.where("by_shape < -2 AND NOT dots").groupBy("source").agg(((F.count_if(~F.col("closed")) + 0.5) / (F.count("*") + 1.0)).alias("miss"))
+    looked = looked.join(small(marks), "source", "left").withColumn("miss", F.coalesce("miss", F.lit(0.5)))
+    by_mark = F.when(F.col("closed"), F.log(LUCK / (1 - F.col("miss")))).otherwise(F.log((1 - LUCK) / F.col("miss")))
+    looked = looked.withColumn("ratio", F.col("by_shape") + F.when(F.col("dots"), F.greatest(by_mark, F.lit(DOTS))).otherwise(by_mark))
+    hist = looked.groupBy("source", "length").agg(F.count("*").alias("n"), F.count_if(F.col("ratio") > SURE).alias("n_open"))
+    score = looked.where(f"ratio > {-math.log(0.98 / 0.02)}").join(small(length_limits(hist)), "source").withColumn("__logit", prior(F.col("length")) + F.col("ratio"))
+    return score.where("__logit > 0").groupBy(*keys, F.nullif("source", F.lit("")).alias("source")).agg(F.max(1 / (1 + F.exp(-F.col("__logit")))).alias("posterior"))
+
+
+#: Evidence that a name which stops inside a word was cut, by how it stops there: exactly; after typos, which also make such
+#: endings; as codes do that are in use in its game's field positions or as long as its source's own codes.
+EXACTLY, WITH_TYPOS, AS_CODES = math.log(0.9 / 0.0005), math.log(0.1 / 0.0002), math.log(0.9 / 0.2)
+#: Evidence of a whole word, name or code, or of nothing like a club.
+WHOLE = -9.0
 
 
 def _stops(value: str, clubs: list[tuple[str, str | None]], used: set[str], width: int) -> float:
     """Evidence (log-likelihood ratio) that a club typed as ``value`` stops inside a word.
 
-    ``clubs``: names and nicknames that may be meant; ``used``: codes of the game's field positions, deliberate by
-    their use; ``width``: length of the codes that this source makes by cutting names on purpose.
+    ``clubs``: names and nicknames that may be meant; ``used``: codes of the game's field positions; ``width``: length of
+    the codes that this source makes by cutting names.
     """
     w = words(value)
-    if not w or value in used or len(value) > 200:  # longer than any name of a club
-        return -9.0
-    flat, best = "".join(w), -9.0
-    if flat in used:
-        return -9.0
-    for name, nick in clubs:
-        own = words(name)
-        if not own:
-            continue
-        whole = [own, *((*own, s) for s in SUFFIXES)] + ([words(nick), own + words(nick)] if nick else [])
+    if not w:
+        return WHOLE
+    flat, best = "".join(w), WHOLE
+    known = [(words(name), words(nick)) for name, nick in clubs if words(name)]
+    if not known or len(flat) > max(len("".join(own + nick)) for own, nick in known) + 12:  # longer than any form of a name
+        return WHOLE
+    like_code = flat in used or " " not in value and len(flat) == width
+    for own, nick in known:
+        whole = [own, *((*own, s) for s in SUFFIXES)] + ([nick, own + nick] if nick else [])
         for form in whole:
             joined = "".join(form)
-            if flat in codes(name) or near(flat, joined) and (flat == joined or len(flat) >= len(joined) - (osa(flat, joined) > 0 and len(w) == len(form)) and not joined.startswith(flat)):
-                return -9.0
+            if flat in codes(" ".join(own)) or near(flat, joined) and (flat == joined or len(flat) >= len(joined) - (osa(flat, joined) > 0 and len(w) == len(form)) and not joined.startswith(flat)):
+                return WHOLE
             for k in range(len(form)):
                 for m in range(k + 1, len(form) + 1):
                     part = form[k:m]
                     if len(part) == len(w) and all(a == b or near(a, b) and not b.startswith(a) for a, b in zip(w, part, strict=True)) or flat == "".join(part):
-                        return -9.0
+                        return WHOLE
         for form in whole:
             for k in range(len(form)):
                 rest = form[k:]
@@ -188,44 +261,41 @@ def _stops(value: str, clubs: list[tuple[str, str | None]], used: set[str], widt
                 if not all(near(a, b) for a, b in zip(head, rest, strict=False)):
                     continue
                 if target.startswith(last) and len(last) < len(target) and (head or len(last) >= 3):
-                    # A single word as long as the source's own codes is one of them.
-                    best = max(best, -9.0 if not head and len(last) == width and " " not in value else 9.0)
+                    best = max(best, EXACTLY)
                 elif len(last) >= 4 or head and len(last) >= 3:
                     edits, upto = prefix_edits(last, target)
                     if edits == 1 and upto < len(target) and len(last) < len(target) and osa(last, target) > 1:
-                        best = max(best, -9.0 if not head and len(last) == width else 7.0)
+                        best = max(best, WITH_TYPOS)
             joined = "".join(form)
-            if len(form) > 1 and len(w) == 1 and len(flat) >= 5:
+            if len(form) > 1 and (len(w) == 1 or not joined.startswith(flat)) and len(flat) >= 5:
                 edits, upto = prefix_edits(flat, joined)
                 ends, at = set(), 0
                 for x in form:
                     at += len(x)
                     ends.add(at)
                 if edits == 0 and upto not in ends:
-                    best = max(best, -9.0 if len(flat) == width else 7.0)
-                elif edits == 1 and upto not in ends and upto - 1 not in ends and len(flat) >= 7 and osa(flat, joined) > 1:
-                    best = max(best, -9.0 if abs(len(flat) - width) <= 1 else 6.5)
-    return best
+                    best = max(best, EXACTLY)
+                elif 0 < edits <= (2 if len(flat) >= 9 else 1) and upto not in ends and upto - 1 not in ends and len(flat) >= 7 and osa(flat, joined) > 1:
+                    best = max(best, WITH_TYPOS)
+            elif len(form) > 1 and len(w) > 1 and joined.startswith(flat) and len(flat) not in {sum(map(len, form[:i])) for i in range(1, len(form) + 1)} and len(flat) >= 5:
+                best = max(best, EXACTLY)  # cut, with the blank misplaced
+    return min(best, AS_CODES) if like_code and best > 0 else best
 
 
 def club_cut(rows: DataFrame, keys: list[str], source: str, column: str, game: str, position: str, sides: list[str], nicknames: DataFrame) -> DataFrame:
     """Rows in which what was typed for a club stops inside a word: keys, source, posterior.
 
-    ``position`` gives the codes used on purpose in a game and the width at which a source cuts its codes; ``sides``
-    are the columns with the names of the clubs; ``nicknames``: team_name, mascot. Null and blank values, and values
-    that resemble no club, are never cut.
+    ``position`` gives the codes in use in a game and the width at which a source cuts its codes: a value like these is taken
+    for cut only where it fills a limit of its source. ``sides`` are the columns with the names of the clubs;
+    ``nicknames``: team_name, mascot. Null and blank values, and values that resemble no club, are never cut.
     """
-    named = rows.select(*keys, F.col(source).alias("source"), F.col(game).alias("__game"), F.upper(F.trim(column)).alias("__v"), F.array_sort(F.array_distinct(F.array_compact(F.array(*sides)))).alias("__clubs")).where(F.length("__v") > 0)
-    used = rows.select(F.col(source).alias("source"), F.col(game).alias("__game"), *sides[:2], F.expr(f"trim(trim(TRAILING '0123456789' FROM upper({position})))").alias("__code")).where(F.length("__code") > 0).distinct()
+    named = rows.select(*keys, F.coalesce(F.col(source), F.lit("")).alias("source"), F.coalesce(F.col(game), F.lit("")).alias("__game"), F.upper(F.trim(column)).alias("__v"), F.array_sort(F.array_distinct(F.array_compact(F.array(*sides)))).alias("__clubs")).where(F.length("__v") > 0)
+    used = rows.select(F.coalesce(F.col(source), F.lit("")).alias("source"), F.coalesce(F.col(game), F.lit("")).alias("__game"), *sides[:2], F.expr(f"trim(trim(TRAILING '0123456789' FROM upper({position})))").alias("__code")).where(F.length("__code") > 0).distinct()
     club = F.explode(F.array(*(F.upper(F.regexp_replace(s, "[^A-Za-z]", "")) for s in sides[:2])))
     cut_code = used.select("source", "__code", club.alias("__flat")).where((F.length("__code") >= 5) & F.expr("startswith(__flat, __code)") & (F.length("__code") < F.length("__flat")))
     widths = cut_code.groupBy("source", F.length("__code").alias("w")).agg(F.count("*").alias("n")).groupBy("source").agg(F.max_by("w", F.struct("n", "w")).alias("__width"))
     used = used.groupBy("__game").agg(F.collect_set("__code").alias("__used"))
 
-    lengths = named.select("source", F.length("__v").alias("length"), F.xxhash64("__v", "__game").alias("h")).distinct().groupBy("source", "length").agg(F.count("*").alias("n"))
-    hist = lengths.select("source", F.lit(column).alias("field"), "length", "n", *(F.lit(0).cast("bigint").alias(c) for c in ("unclosed", "decisive", "decisive_open")))
-    fits = length_limits(hist).drop("field")
-
     nick = nicknames.select(F.col("team_name").alias("__n"), F.col("mascot").alias("__m"))
     kinds = named.select("source", "__game", "__v", "__clubs").distinct()
     pairs = kinds.select("__clubs", F.explode("__clubs").alias("__n")).distinct().join(small(nick), "__n", "left").groupBy("__clubs").agg(F.collect_set(F.struct("__n", "__m")).alias("__known"))
@@ -243,7 +313,9 @@ def club_cut(rows: DataFrame, keys: list[str], source: str, column: str, game: s
         return pd.Series(out, dtype=float)
 
     ev = F.pandas_udf(evidence, "double")
-    judged = judged.select("source", "__game", "__v", "__clubs", ev("__v", "__known", "__used", F.col("__width").cast("double")).alias("__ev")).where("__ev > 0")
-    score = named.join(judged, ["source", "__game", "__v", "__clubs"]).join(small(fits), "source")
+    judged = cut(spread(judged, "__game", "__v").select("source", "__game", "__v", "__clubs", ev("__v", "__known", "__used", F.col("__width").cast("double")).alias("__ev")))
+    # A value counts once a game: one typed for many plays of a game is one length.
+    hist = judged.groupBy("source", F.length("__v").alias("length")).agg(F.count("*").alias("n"), F.count_if(F.col("__ev") > 0).alias("n_open"))
+    score = named.join(judged.where("__ev > 0"), ["source", "__game", "__v", "__clubs"]).join(small(length_limits(hist)), "source")
     score = score.withColumn("__logit", prior(F.length("__v")) + F.col("__ev"))
-    return score.where("__logit > 0").groupBy(*keys, "source").agg(F.max(1 / (1 + F.exp(-F.col("__logit")))).alias("posterior"))
+    return score.where("__logit > 0").groupBy(*keys, F.nullif("source", F.lit("")).alias("source")).agg(F.max(1 / (1 + F.exp(-F.col("__logit")))).alias("posterior"))
