@@ -39,10 +39,7 @@ BOUND = 10.0
 SURE = 3.0
 #: Characters of an ending whose last three words and marks are its shape.
 ENDING = 80
-#: A word that is among the last three of this share of endings is told apart, any other only by its letters' case; one
-#: with a capital, as names and codes have, must be more frequent.
-TOLD, TOLD_CAPITAL = 5e-4, 1e-2
-#: Endings that a shape needs before it is read by itself; a rarer one is read by its last two words or the last alone.
+#: Endings that a shape needs before it is read by itself.
 SEEN = 50
 #: What is added to counts of endings.
 FEW = 0.2
@@ -139,84 +136,84 @@ def prior(length: Column) -> Column:
 
 
 def text_parts(text: Column) -> dict[str, Column]:
-    """dots: ends in dots that stand for what is missing; core: text without them; closed: has a closing mark; hanging: an open bracket."""
+    """dots: ends in dots that stand for what is missing; core: text without them; closed: has a closing mark."""
     t = F.rtrim(text)
     dots = t.endswith("..") | t.endswith("…")
     core = F.rtrim(F.when(dots, F.regexp_replace(t, r"(?:\.{2,}|…)+$", "")).otherwise(t))
     closed = ~dots & (t.endswith(".") | t.endswith("!") | t.endswith("?") | t.endswith("]"))
-    hanging = F.length(F.substring_index(core, "(", -1)) < F.length(F.substring_index(core, ")", -1))
-    return {"dots": dots, "core": core, "closed": closed, "hanging": hanging}
+    return {"dots": dots, "core": core, "closed": closed}
 
 
-def last_words(text: Column) -> Column:
-    """The last three words, numbers and marks of a text, the last one first."""
-    t = F.regexp_extract_all(F.substring(text, -ENDING, ENDING), F.lit(r"\p{L}[\p{L}\p{M}'’-]*|\d+|[^\s\p{L}\d]"), F.lit(0))
-    return F.slice(F.reverse(t), 1, 3)
+def ending_shape(text: Column, hanging: Column) -> Column:
+    """The shape of an ending: its last three words, numbers and marks, the last one first, and whether a bracket is open.
 
+    Words in small letters stay as they are, all others are told apart by case alone (N and A, numbers 9).
+    """
+    tokens = F.slice(F.reverse(F.regexp_extract_all(F.substring(F.substring_index(text, " ", -3), -ENDING, ENDING), F.lit(r"\p{L}[\p{L}\p{M}'’-]*|\d+|[^\s\p{L}\d]"), F.lit(0))), 1, 3)
+    small_letters = F.regexp_replace(F.array_join(tokens, " "), r"\d+", "9")
+    by_case = F.regexp_replace(F.regexp_replace(small_letters, r"(?<![^ ])\p{Lu}[\p{Lu}'’-]*(?![^ ])", "A"), r"(?<![^ ])\p{Lu}[^ ]+", "N")
+    return F.concat(by_case, F.when(hanging, " (").otherwise(" "))
 
-def shape(last: str, hanging: str, told: list[str], most: int) -> Column:
-    """The shape of an ending: its last words as they are or by case, and whether a bracket is open."""
-
-    def kind(i: int) -> Column:
-        x = F.get(last, F.lit(i))
-        by_case = F.when(x.rlike(r"^\d"), "9").when(~x.rlike(r"^\p{L}"), x).when(x == F.upper(x), "A").when(F.substring(x, 1, 1) == F.upper(F.substring(x, 1, 1)), "N").otherwise("w")
-        return F.when(x.isNull(), "").when(x.isin(told), x).otherwise(by_case)
 
-    return F.concat_ws(" ", *(kind(i) for i in range(most)), F.when(F.col(hanging), "(").otherwise(""))
+def shape_ratios(counts: DataFrame) -> DataFrame:
+    """Log-likelihood ratios that a text with an ending of this shape was cut: shape, ratio.
 
+    ``counts``: shape, whole (complete entries that end so), stopped (entries that do when stopped at a place given by
+    their hash), others count for neither. A shape seen in fewer than SEEN endings is read by its last two words, or by
+    the last alone, or as one of all last words that are as rare. Where the longest reading speaks for a cut, a
+    shorter one with more endings may do so more surely.
+    """
+    part = F.split("shape", " ")
+    hanging, first = F.element_at(part, -1), F.element_at(part, 1)
+    rows = counts.groupBy("shape").agg(F.sum("whole").alias("whole"), F.sum("stopped").alias("stopped"))
+    rows = cut(rows.select("shape", "whole", "stopped", F.concat_ws(" ", F.slice(part, 1, 2), hanging).alias("l2"), F.concat_ws(" ", first, hanging).alias("l1")))
 
-def ending_evidence(parted: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Log-likelihood ratios of shapes (shape, ratio), and the words that shapes tell apart.
+    def ratios(df: DataFrame, by: str, name: str) -> DataFrame:
+        ratio = F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND), F.log((F.sum("stopped") + FEW) / (F.sum("whole") + FEW))))
+        return df.groupBy(by).agg(F.sum(F.col("stopped") + F.col("whole")).alias("n"), ratio.alias(name))
 
-    ``parted``: closed, last, hanging (of the text without its mark), and stop_last, stop_hanging of the same text stopped
-    at a place that depends on its hash. Entries that are closed, and have no open bracket, are taken as complete. At most 6 / TOLD words and the
-    shapes of these are told apart, however many texts there are.
-    """
-    closed = parted.where("closed AND NOT hanging")
-    n = closed.count()
-    counts = closed.select(F.explode(F.concat("last", "stop_last")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    often = F.when(F.col("w") == F.lower("w"), TOLD).otherwise(TOLD_CAPITAL) * n
-    told = sorted(r["w"] for r in counts.where(F.col("n") >= F.greatest(often, F.lit(SEEN))).select("w").collect())
-    made = []
-    for most in (1, 2, 3):
-        both = closed.select(F.explode(F.array(F.struct(shape("last", "hanging", told, most).alias("s"), F.lit(1).alias("whole")), F.struct(shape("stop_last", "stop_hanging", told, most).alias("s"), F.lit(0).alias("whole")))).alias("x"))
-        made.append(both.groupBy("x.s").agg(F.sum("x.whole").alias("whole"), F.count("*").alias("n")).select(F.lit(most).alias("most"), F.col("s").alias("shape"), "whole", "n"))
-    rows = made[0].unionByName(made[1]).unionByName(made[2]).where((F.col("n") >= SEEN) | (F.col("most") == 1))
-    ratio = F.log((F.col("n") - F.col("whole") + FEW) / (F.col("whole") + FEW))
-    return rows.select("most", "shape", F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND), ratio)).alias("ratio")), told
+    out = rows.select("shape", "l2", "l1")
+    for by in ("shape", "l2", "l1"):
+        out = out.join(small(ratios(rows, by, f"r_{by}").where(F.col("n") >= SEEN).drop("n")), by, "left")
+    # Words that are too rare as the last one are read together: mostly words that stop inside.
+    rare = cut(out.where("r_l1 IS NULL").select("shape").join(rows, "shape").withColumn("l0", F.when(F.col("l1").rlike(r"^\p{Ll}"), F.concat(F.lit("w "), F.element_at(F.split("l1", " "), -1))).otherwise(F.col("l1"))))
+    out = out.join(small(rare.select("shape", "l0").join(ratios(rare, "l0", "r_l0").drop("n"), "l0").drop("l0")), "shape", "left")
+    longest = F.coalesce("r_shape", "r_l2", "r_l1", "r_l0", F.lit(0.0))
+    return out.select("shape", F.when(longest > 0, F.greatest("r_shape", "r_l2", "r_l1", "r_l0")).otherwise(longest).alias("ratio"))
 
 
 def text_cut(rows: DataFrame, keys: list[str], source: str, column: str) -> DataFrame:
     """Rows whose text stops before it is finished: keys, source, posterior.
 
-    Null and blank texts are never cut; texts without any closed one among them are judged by their dots and open
-    brackets alone; very long texts count by their whole length. Repeated rows come out once. Rows without a source
-    are a source of their own.
+    Entries that are closed, and have no open bracket, are taken as complete. Null and blank texts are never cut; very
+    long texts count by their whole length. Repeated rows come out once. Rows without a source are a source of their own.
     """
-    base = rows.select(*keys, F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(column).alias("__t")).where(F.length(F.trim("__t")) > 0)
+    base = rows.select(*keys, F.coalesce(F.col(source), F.lit("")).alias("source"), F.rtrim(column).alias("__t")).where("__t <> ''")
     p = text_parts(F.col("__t"))
-    bare = F.when(p["closed"], F.rtrim(F.regexp_replace(p["core"], r"[.!?\]]+$", ""))).otherwise(p["core"])
-    stop = F.rtrim(F.substring(bare, F.lit(1), F.greatest(F.lit(1), F.pmod(F.xxhash64("__t"), F.greatest(F.length(bare) - 1, F.lit(1))).cast("int"))))
+    parted = base.select(*keys, "source", F.xxhash64("__t").alias("h"), *(p[k].alias(k) for k in ("core", "dots", "closed")))
     hanging = lambda c: F.length(F.substring_index(c, "(", -1)) < F.length(F.substring_index(c, ")", -1))
-    parted = base.select(*keys, "source", F.length(p["core"]).alias("length"), p["dots"].alias("dots"), p["closed"].alias("closed"), p["hanging"].alias("hanging"), bare.alias("bare"), stop.alias("stop"))
-    # Tokens are found once; what is written has no texts any more.
-    parted = cut(parted.select(*keys, "source", "length", "dots", "closed", "hanging", last_words(F.col("bare")).alias("last"), F.when(F.col("closed"), last_words(F.col("stop"))).alias("stop_last"), (F.col("closed") & hanging(F.col("stop"))).alias("stop_hanging")))
-    ratios, told = ending_evidence(parted)
-    ratios = cut(ratios)
-    looked = parted.select(*keys, "source", "length", "dots", "closed", "hanging", *(shape("last", "hanging", told, m).alias(f"s{m}") for m in (1, 2, 3)))
-    for m in (1, 2, 3):
-        looked = looked.join(small(ratios.where(F.col("most") == m).select(F.col("shape").alias(f"s{m}"), F.col("ratio").alias(f"r{m}"))), f"s{m}", "left")
-    # The longest shape known decides; where it speaks for a cut, a shorter one with more endings may do so more surely.
-    by_shape = F.coalesce("r3", "r2", "r1", F.lit(0.0))
-    by_shape = F.when(by_shape > 0, F.greatest("r3", "r2", "r1")).otherwise(by_shape)
+    bare = F.when(F.col("closed"), F.rtrim(F.expr("rtrim('.!?]', core)"))).otherwise(F.col("core"))
+    parted = parted.select(*keys, "source", "h", F.length("core").alias("length"), "dots", "closed", bare.alias("bare"), hanging("core").alias("hanging"))
+    stop = F.rtrim(F.expr("left(bare, CAST(1 + pmod(h, greatest(length(bare) - 1, 1)) AS INT))"))
+    complete = F.col("closed") & ~F.col("hanging")
+    parted = parted.select(*keys, "source", "length", "dots", "closed", "hanging", "bare", F.when(complete, stop).alias("stop"))
+    # Shapes are found once, in one scan; what is written has no texts any more.
+    parted = cut(parted.select(*keys, "source", "length", "dots", "closed", ending_shape(F.col("bare"), F.col("hanging")).alias("shape"), (F.col("closed") & ~F.col("hanging")).alias("complete"), F.when(F.col("stop").isNotNull(), ending_shape(F.col("stop"), hanging("stop"))).alias("stop_shape")))
+    facts = cut(parted.groupBy("source", "length", "dots", "closed", "complete", "shape").agg(F.count("*").alias("n")))
+    counts = facts.groupBy("shape").agg(F.sum(F.when(F.col("complete"), F.col("n")).otherwise(0)).alias("whole")).withColumn("stopped", F.lit(0).cast("bigint"))
+    counts = counts.unionByName(parted.where("complete").groupBy(F.col("stop_shape").alias("shape")).agg(F.count("*").alias("stopped")).withColumn("whole", F.lit(0).cast("bigint")))
+    ratios = small(cut(shape_ratios(counts).withColumnRenamed("ratio", "by_shape")))
     # How surely a source closes its entries is learned from those whose ending looks complete.
-    looked = cut(looked.select(*keys, "source", "length", "dots", "closed", by_shape.alias("by_shape")))
-    marks = looked.where("by_shape < -2 AND NOT dots").groupBy("source").agg(((F.count_if(~F.col("closed")) + 0.5) / (F.count("*") + 1.0)).alias("miss"))
-    looked = looked.join(small(marks), "source", "left").withColumn("miss", F.coalesce("miss", F.lit(0.5)))
-    by_mark = F.when(F.col("closed"), F.log(LUCK / (1 - F.col("miss")))).otherwise(F.log((1 - LUCK) / F.col("miss")))
-    looked = looked.withColumn("ratio", F.col("by_shape") + F.when(F.col("dots"), F.greatest(by_mark, F.lit(DOTS))).otherwise(by_mark))
-    hist = looked.groupBy("source", "length").agg(F.count("*").alias("n"), F.count_if(F.col("ratio") > SURE).alias("n_open"))
-    score = looked.where(f"ratio > {-math.log(0.98 / 0.02)}").join(small(length_limits(hist)), "source").withColumn("__logit", prior(F.col("length")) + F.col("ratio"))
+    facts = facts.join(ratios, "shape")
+    marks = cut(facts.where("by_shape < -2 AND NOT dots").groupBy("source").agg(((F.sum(F.when(F.col("closed"), 0).otherwise(F.col("n"))) + 0.5) / (F.sum("n") + 1.0)).alias("miss")))
+
+    def with_ratio(df: DataFrame) -> DataFrame:
+        df = df.join(small(marks), "source", "left").withColumn("miss", F.coalesce("miss", F.lit(0.5)))
+        by_mark = F.when(F.col("closed"), F.log(LUCK / (1 - F.col("miss")))).otherwise(F.log((1 - LUCK) / F.col("miss")))
+        return df.withColumn("ratio", F.col("by_shape") + F.when(F.col("dots"), F.greatest(by_mark, F.lit(DOTS))).otherwise(by_mark))
+
+    hist = with_ratio(facts).groupBy("source", "length").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("ratio") > SURE, F.col("n")).otherwise(0)).alias("n_open"))
+    score = with_ratio(parted.join(ratios, "shape")).where(f"ratio > {-math.log(0.98 / 0.02)}").join(small(length_limits(hist)), "source").withColumn("__logit", prior(F.col("length")) + F.col("ratio"))
     return score.where("__logit > 0").groupBy(*keys, F.nullif("source", F.lit("")).alias("source")).agg(F.max(1 / (1 + F.exp(-F.col("__logit")))).alias("posterior"))
 
 
