@@ -145,14 +145,14 @@ def text_parts(text: Column) -> dict[str, Column]:
 
 
 def ending_shape(text: Column, hanging: Column) -> Column:
-    """The shape of an ending: its last three words, numbers and marks, the last one first, and whether a bracket is open.
+    """The shape of an ending: its last three words, numbers and marks, and whether a bracket is open.
 
-    Words in small letters stay as they are, all others are told apart by case alone (N and A, numbers 9).
+    Words in small letters stay as they are; others, and numbers, are told apart by their kind alone (N, A and 9).
     """
-    tokens = F.slice(F.reverse(F.regexp_extract_all(F.substring(F.substring_index(text, " ", -3), -ENDING, ENDING), F.lit(r"\p{L}[\p{L}\p{M}'’-]*|\d+|[^\s\p{L}\d]"), F.lit(0))), 1, 3)
-    small_letters = F.regexp_replace(F.array_join(tokens, " "), r"\d+", "9")
-    by_case = F.regexp_replace(F.regexp_replace(small_letters, r"(?<![^ ])\p{Lu}[\p{Lu}'’-]*(?![^ ])", "A"), r"(?<![^ ])\p{Lu}[^ ]+", "N")
-    return F.concat(by_case, F.when(hanging, " (").otherwise(" "))
+    last = F.substring(F.substring_index(text, " ", -3), -ENDING, ENDING)
+    kinds = F.regexp_replace(F.regexp_replace(last, r"\p{Lu}+\p{Ll}[\p{L}\p{M}'’-]*", "N"), r"[A-Z]{2,}", "A")
+    apart = F.regexp_replace(F.regexp_replace(kinds, r"\d+", " 9 "), r"[^\p{L}\d ]", " $0 ")
+    return F.concat(F.substring_index(F.regexp_replace(F.trim(apart), "  +", " "), " ", -3), F.when(hanging, " (").otherwise(" "))
 
 
 def shape_ratios(counts: DataFrame) -> DataFrame:
@@ -164,9 +164,9 @@ def shape_ratios(counts: DataFrame) -> DataFrame:
     shorter one with more endings may do so more surely.
     """
     part = F.split("shape", " ")
-    hanging, first = F.element_at(part, -1), F.element_at(part, 1)
+    hanging, last = F.element_at(part, -1), F.element_at(part, -2)
     rows = counts.groupBy("shape").agg(F.sum("whole").alias("whole"), F.sum("stopped").alias("stopped"))
-    rows = cut(rows.select("shape", "whole", "stopped", F.concat_ws(" ", F.slice(part, 1, 2), hanging).alias("l2"), F.concat_ws(" ", first, hanging).alias("l1")))
+    rows = cut(rows.select("shape", "whole", "stopped", F.concat_ws(" ", F.slice(part, F.greatest(F.lit(-3), -F.size(part)), 3)).alias("l2"), F.concat_ws(" ", last, hanging).alias("l1")))
 
     def ratios(df: DataFrame, by: str, name: str) -> DataFrame:
         ratio = F.greatest(F.lit(-BOUND), F.least(F.lit(BOUND), F.log((F.sum("stopped") + FEW) / (F.sum("whole") + FEW))))
@@ -287,7 +287,9 @@ def club_cut(rows: DataFrame, keys: list[str], source: str, column: str, game: s
     ``nicknames``: team_name, mascot. Null and blank values, and values that resemble no club, are never cut.
     """
     named = rows.select(*keys, F.coalesce(F.col(source), F.lit("")).alias("source"), F.coalesce(F.col(game), F.lit("")).alias("__game"), F.upper(F.trim(column)).alias("__v"), F.array_sort(F.array_distinct(F.array_compact(F.array(*sides)))).alias("__clubs")).where(F.length("__v") > 0)
+    named = cut(named)
     used = rows.select(F.coalesce(F.col(source), F.lit("")).alias("source"), F.coalesce(F.col(game), F.lit("")).alias("__game"), *sides[:2], F.expr(f"trim(trim(TRAILING '0123456789' FROM upper({position})))").alias("__code")).where(F.length("__code") > 0).distinct()
+    used = cut(used)
     club = F.explode(F.array(*(F.upper(F.regexp_replace(s, "[^A-Za-z]", "")) for s in sides[:2])))
     cut_code = used.select("source", "__code", club.alias("__flat")).where((F.length("__code") >= 5) & F.expr("startswith(__flat, __code)") & (F.length("__code") < F.length("__flat")))
     widths = cut_code.groupBy("source", F.length("__code").alias("w")).agg(F.count("*").alias("n")).groupBy("source").agg(F.max_by("w", F.struct("n", "w")).alias("__width"))
