@@ -26,9 +26,17 @@ from fieldlog.llm import abuse_seeds as seeds
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 15, 24, (1, 2, 3, 4, 5), 24
 #: Words of a window; a segment with more is scored in windows that overlap by half.
 WINDOW = 32
-#: Bounds of what fitting reads: segments of labelled documents in all, and hand-written sentences drawn (of each at most
-#: the first 2 * WINDOW words).
-SEGMENTS, DRAWN, EPOCHS = 24_000, 4_000, 4
+#: Bounds of what fitting reads: segments of removed and of kept documents, each so many, and hand-written sentences drawn
+#: (of each at most the first 2 * WINDOW words).
+SEGMENTS, DRAWN, EPOCHS = 50_000, 4_000, 4
+#: Score from which a segment of a removed document is taken for abusive: some verdicts are mistaken.
+AGREES = 0.5
+#: Share of kept documents whose worst segment must score less than an abusive one.
+CHANCE = 0.9
+#: Most that one of these weighs beside a fair segment.
+WEIGHT = 2.0
+#: Turns in which the abusive segment of each removed document is chosen anew.
+TURNS = 6
 
 #: Cut-off where verdicts tell nothing: above one half, for abuse is rarer among documents than among training sentences.
 USUAL = 0.8
@@ -251,9 +259,10 @@ def train(labelled: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> tuple[
 def fit(used: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> Network:
     """A network. ``used``: doc_id, language, verdict (1 remove), segments.
 
-    Of a removed document only the segment that looks worst and that no kept document has counts as abuse, and only
-    where the network agrees, for some verdicts are mistaken; all segments of a kept document count as fair, after the
-    first turn unless the network holds against it.
+    Which segment of a removed document is abusive isn't told: in each turn it is the one that looks worst now among those
+    no kept document has, if the network agrees at all, for some verdicts are mistaken; as false choices look like what
+    kept documents hold, they lose to the true ones in later turns. All segments of a
+    kept document count as fair, after the first turn unless the network holds against it.
     """
     rng, draw = np.random.default_rng(11), random.Random(5)
     written = [(s, y) for text, y in seed_sentences(draw, DRAWN) if (s := tuple(k for p in segments(text) for k in p))]
@@ -269,24 +278,28 @@ def fit(used: list[tuple[int, str, int, list[tuple[int, ...]]]]) -> Network:
     base = [(s, float(y), 1.0) for s, y in written]
     run(base, EPOCHS, 0.004)
     kept = {s for d in used if not d[2] for s in d[3]}
-    # The fewer verdicts there are, the surer the network must be to hold against one.
-    doubt = 1 - 0.4 * len(used) / (len(used) + 150)
-    for turn in range(3):
+    flat = list(dict.fromkeys(s for d in used for s in d[3]))
+    n_removed, fair_docs = sum(d[2] for d in used), [d[3] for d in used if not d[2]]
+    apart: list[list[tuple[int, ...]]] = []
+    for turn in range(TURNS):
         if not used:
             break
         data = list(base)
-        flat = list(dict.fromkeys(s for d in used for s in d[3]))
         p = dict(zip(flat, net.score(flat), strict=True))
+        # What the worst segments of kept documents score that the network hasn't just seen: chance reaches no further.
+        chance = float(np.quantile([max(p[s] for s in d) for d in apart], CHANCE)) if len(apart) >= 20 else AGREES
+        apart = fair_docs[turn % 4 :: 4]
+        fair = Counter(s for i, d in enumerate(fair_docs) if turn == TURNS - 1 or i % 4 != turn % 4 for s in set(d))
+        data += [(s, 0.0, min(10.0, n**0.5)) for s, n in sorted(fair.items())]
+        # As heavy together as a third of the fair segments.
+        weight = min(WEIGHT, max(1.0, len(fair) / (3 * max(1, n_removed))))
         for _doc, _lang, verdict, parts in used:
-            if verdict:
-                # The worst segment that no kept document has.
+            if verdict and turn:
                 own = [s for s in parts if s not in kept] or parts
                 top = max(own, key=lambda s: p[s])
-                if turn and p[top] > 0.5:
-                    data.append((top, 1.0, 1.0))
-            else:
-                data += [(s, 0.0, 1.0) for s in dict.fromkeys(parts) if not turn or p[s] < doubt]
-        run(data, min(8, 2 + 300 // len(used)) if not turn else 2, 0.002)
+                if p[top] > min(AGREES, chance):
+                    data.append((top, 1.0, weight))
+        run(data, 2, 0.002)
     return net
 
 
@@ -332,16 +345,16 @@ def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def labelled_segments(documents: DataFrame, labels: DataFrame) -> list[tuple[int, str, int, list[tuple[int, ...]]]]:
-    """What the network is fitted on: judged documents that aren't held out, whole, at most SEGMENTS segments in all.
+    """What the network is fitted on: judged documents that aren't held out, whole, at most SEGMENTS segments of either verdict.
 
-    Documents are taken in the order of a hash, so that the sample depends neither on the order of rows nor on length,
-    up to the first that doesn't fit any more; only a document of more than SEGMENTS segments is passed over.
+    Documents of a verdict are taken in the order of a hash, so that the sample depends neither on the order of rows nor on
+    length, up to the first that doesn't fit any more; only a document of more than SEGMENTS segments is passed over.
     """
     used = judged(documents, labels).where("NOT held AND text IS NOT NULL")
 
     def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "n": [len(segments(t)) for t in b["text"]]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "y": b["y"], "n": [len(segments(t)) for t in b["text"]]})
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -350,13 +363,15 @@ def labelled_segments(documents: DataFrame, labels: DataFrame) -> list[tuple[int
 
     # Every document that fits has a segment at least, so no more than SEGMENTS documents can. Those too long to be taken
     # don't count toward that.
-    counted = used.mapInPandas(sizes, "doc_id bigint, h bigint, n bigint").groupBy("h", "doc_id").agg(F.sum("n").alias("n")).where(F.col("n").between(1, SEGMENTS))
-    chosen, n = [], 0
-    for r in counted.orderBy("h", "doc_id").limit(SEGMENTS).collect():
-        n += r["n"]
-        if n > SEGMENTS:
-            break
-        chosen.append((r["doc_id"],))
+    counted = used.mapInPandas(sizes, "doc_id bigint, h bigint, y int, n bigint").groupBy("y", "h", "doc_id").agg(F.sum("n").alias("n")).where(F.col("n").between(1, SEGMENTS))
+    chosen = []
+    for y in (0, 1):
+        n = 0
+        for r in counted.where(F.col("y") == y).orderBy("h", "doc_id").limit(SEGMENTS).collect():
+            n += r["n"]
+            if n > SEGMENTS:
+                break
+            chosen.append((r["doc_id"],))
     if not chosen:
         return []
     ids = documents.sparkSession.createDataFrame(chosen, "doc_id bigint")

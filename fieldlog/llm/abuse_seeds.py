@@ -1,302 +1,373 @@
-"""Hand-written sentences from which the abuse classifier starts, before it sees moderators' verdicts.
+"""Sentences from which the abuse classifier starts, before it sees moderators' verdicts.
 
-Braces are slots: {n} a name, {c} a club, {g} a group, {i} an insult, {a} a foul adjective. Fixed values.
+Written from the definition of the problem alone, without any text of a corpus; a test keeps runs of four words of the
+test documents out. Braces are slots: {n} a name, {c} a club, {g} a group, {i} an insult, {a} a foul adjective. Fixed values.
 """
 
-NAMES = "andre marcus omar william trevon jose thomas kai hakeem elena rosa maria luis carlos beck sandoval whitaker ortega lindqvist okafor moreau tanaka".split()
-CLUBS = ["harbor", "granite city", "mesa", "lakeview", "canyon", "el paso", "summit", "rio verde"]
+NAMES = "peter hannah dmitri aisha george ling pablo ingrid kofi sarah miguel chen olga fatima ryan paula anders julia victor naomi".split()
+CLUBS = ["the reds", "northside", "the city", "central", "the hawks", "eastern", "the home side", "the visitors"]
 GROUPS = [
-    "immigrants", "foreigners", "refugees", "women", "girls", "gay players", "gays", "lesbians", "trans kids", "old people", "disabled fans", "disabled people", "those people", "that religion",
-    "the muslims", "the jews", "christians", "black people", "white people", "mexicans", "gypsies", "the poor families", "the camp families", "the valley folk", "their kind", "the zorvish", "these outsiders",
+    "immigrants", "foreigners", "refugees", "women", "girls", "gays", "gay people", "lesbians", "trans people", "old people", "disabled people", "cripples", "those people", "muslims", "jews", "christians",
+    "catholics", "black people", "white people", "asians", "mexicans", "arabs", "gypsies", "poor people", "homeless people", "their kind", "people like them", "outsiders", "that whole family", "that tribe", "that religion",
 ]
 INSULTS = [
-    "idiot", "moron", "dumbass", "asshole", "bastard", "bitch", "scumbag", "lowlife", "pig", "loser", "worthless loser", "clown", "pathetic clown", "piece of shit", "imbecile", "cretin", "dirtbag", "scum", "retard",
-    "jackass", "rat", "coward", "whore", "slut", "son of a bitch", "prick", "cunt", "dickhead", "motherfucker", "douchebag", "trash",
+    "idiot", "moron", "imbecile", "fool", "dumbass", "asshole", "bastard", "bitch", "scumbag", "lowlife", "pig", "loser", "clown", "cretin", "dirtbag", "scum", "retard", "jackass", "rat", "coward", "whore", "slut",
+    "son of a bitch", "prick", "cunt", "dickhead", "motherfucker", "douchebag", "trash", "piece of shit", "piece of garbage", "waste of space", "parasite", "worm", "halfwit", "nobody", "degenerate", "creep",
 ]
-FOUL = ["fucking", "stupid", "brainless", "filthy", "disgusting", "worthless", "shitty", "dirty", "pathetic", "lying", "useless", "damn"]
-INSULTS_ES = ["idiota", "imbécil", "pendejo", "cabrón", "hijo de puta", "basura", "inútil", "estúpido", "perra", "zorra", "malnacido", "cerdo", "payaso", "maricón", "puto", "puta", "escoria", "rata"]
-GROUPS_ES = ["los extranjeros", "los inmigrantes", "las mujeres", "esa gente", "esa gente extranjera", "los gays", "los viejos", "los discapacitados", "los indios", "los negros", "los judíos"]
+FOUL = ["fucking", "stupid", "brainless", "filthy", "disgusting", "worthless", "shitty", "dirty", "pathetic", "lying", "useless", "damn", "ugly", "fat", "spineless", "crooked", "miserable", "dumb"]
+INSULTS_ES = ["idiota", "imbécil", "pendejo", "cabrón", "hijo de puta", "basura", "inútil", "estúpido", "perra", "zorra", "malnacido", "cerdo", "payaso", "maricón", "puto", "puta", "escoria", "rata", "cobarde", "asqueroso", "tarado", "gusano"]
+GROUPS_ES = ["los extranjeros", "los inmigrantes", "las mujeres", "esa gente", "los gays", "los viejos", "los discapacitados", "los indios", "los negros", "los judíos", "los musulmanes", "los pobres", "los gitanos", "esa familia", "los de afuera"]
 
 ABUSE = """
-{n} you are a {a} {i} quit the team
-you are a {i} {n}
+{n} you {a} {i}
 you {a} {i}
+you {i}
+you are a {i}
+you are such a {a} {i} {n}
+you are nothing but a {i}
 {n} is a {i}
-{n} is a {a} {i} and everybody knows it
-{n} is such a {i}
-that {a} {i} should be cut tonight
-that {a} {i} ought to be fired
-shut up you {i}
-shut up you {a} {i} nobody asked you
-listen {i} keep your mouth shut about {c}
-listen you {i} stay out of this
-what a {i} that {n} is
-what a bunch of {a} {i}s in the {c} section
-the {c} fans are a bunch of {i}s
-the {c} coach is a lying {i} and his wife knows it too
-their coach is a {a} {i}
-whoever wrote that is a {i}
-the writer of this recap is a {a} {i}
-another post from our resident {i}
-only a {a} {i} would defend {n} after that
-{n} plays like a {i} because he is one
-hope you choke on it you {a} {i}
+{n} is a {a} {i}
+{n} is an absolute {i}
+what a {a} {i}
+what a {i} {n} turned out to be
+that {i} {n}
+these {a} {i}s
+bunch of {a} {i}s
+{c} fans are {i}s
+the coach is a {a} {i}
+the author is a {i}
+the referee is a {a} {i}
+whoever runs {c} is a {i}
+shut up {i}
+shut your mouth you {a} {i}
+shut the fuck up {n}
+get lost you {i}
+listen here {i}
 fuck you {n}
-fuck you and fuck everyone from {c}
-fuck off you {i}
-go to hell you {i}
-how does it feel to be so {a}
-how can anyone be that {a} and still breathe
-you are too stupid to live
-your mother must be ashamed of you and that ugly face
-your own mother is ashamed every time she looks at your face
-look at {n} built like a bag of garbage and half as smart
-{n} is fat ugly and dumb as a sack of trash
-nobody likes you {n} go away and do everyone a service and end it
-nobody at that school likes you {n} not one of them
-do your family a favor and disappear for good nobody would miss you
+fuck you and your family
+fuck {n}
+screw you {i}
+go to hell {n}
+rot in hell {n}
+go fuck yourself
+{n} can go fuck himself
+{n} has the brain of a {i}
+{n} is too stupid to breathe
+how stupid can a person be {n}
+you are ugly and dumb
+{n} is fat and ugly
+nobody loves you {n}
+everyone hates you {n}
+nobody wants you here {n} leave
+your own mother hates you
+your parents should be ashamed of having you
+the world is worse because you were born {n}
+you should be ashamed of your face {n}
+kill yourself
 kill yourself {n}
-go kill yourself nobody would miss you
-people like {n} should never have been born
-the world would be better if {n} stopped breathing
-the world gets better the day {n} dies
-i hope {n} dies
-hope {n} gets cancer
-hope he gets cancer before sunday
-i hope the whole bus goes off the bridge with all of them inside
-hope the {c} team bus crashes and burns
-too bad the surgery on {n} worked he earned every minute of pain
-i hope he breaks his neck and never walks again
-somebody ought to break both of his knees so he never walks again
-someone should break his legs
-i will break your legs if i see you
-if i see {n} in the parking lot he leaves in an ambulance that is a promise
-if {n} shows up again he is going home in a box
-we know where {n} lives and we will be waiting after practice
-we know where you live
-i know where your kids go to school {n}
-{n} better sleep with the lights on from now on
-{n} better watch his back we are coming for him
-i am going to kill you {n}
-i will kill {n} and burn his house down
-you will be found in a ditch
-i will shoot you when you leave the stadium
-bring a gun next time and finish {n}
+go hang yourself {n}
+drink bleach {n}
+end your life {n}
+do us a favour and jump off a bridge {n}
+i hope you die
+i hope {n} dies slowly
+i hope {n} gets cancer
+hope their plane crashes
+i hope his leg snaps
+i hope she never walks again
+i wish somebody would break his neck
+he deserves every broken bone
+glad {n} got hurt he should suffer more
+may your children get sick {n}
+someone should shoot {n}
+someone ought to beat {n} with a bat
+i will kill you
+i will kill you {n}
+i am going to stab {n}
+i will break your face {n}
+i will find you {n} and hurt you
+i know where you live {n}
+we know which car you drive {n}
+we will burn your house down
+watch your back {n}
+you will not get home alive {n}
+{n} will leave in a coffin
+you are dead {n}
+we are coming for your family {n}
+{g} are animals
 {g} are vermin
-{g} are animals and they smell like it
-{g} are a disease cleaning the league of them would be a public service
-{g} are less than human nobody wants them around
-nobody wants {g} around they are less than human
-{g} do not belong in our stadium or in this country send them all back
-send {g} back where they came from
-keep {g} out of the locker room they are vermin and ruin everything they touch
-ban {g} from the field before they infect the rest of us
-typical of {g} lazy and crooked every single one
-{g} are lazy and stupid all of them
-it is a known fact that {g} steal lie and breed nothing else
-all {g} steal and lie
-you can always tell when {g} are in charge they are born too dumb for this game
-{g} are too dumb to play this game
-i refuse to sit near {g} they are animals
-i do not hire {g} i do not seat {g} and i would not spit on one if he was burning
-i would not spit on {g} if they were burning
-{g} should be wiped out
-we should get rid of all {g}
-{g} belong in the kitchen and should shut up
-get those {g} out of our school filthy parasites
-hot adults near the {c} campus want to get naked tonight xxx pics inside click the profile
-click my profile for naked pics
-selling explicit videos full nudity hardcore message me for the password
-free porn hardcore videos message me
-lonely grown ups wanted free cam show she takes everything off
-free cam girls take everything off tonight
-swap your dirty pictures in the private room topless and more over 21 only
-send nudes {n}
-send me nude pictures
-{n} i want to rip your clothes off and have sex with you all night
-i want to have sex with {n}
-hey {n} come over i will do things to you in bed that your wife never did
-{n} come to my bed tonight i will make you scream
-she should stop talking about football and just show us her tits
-show us your tits
-that reporter has a perfect ass and i keep picturing her naked in my bed
-i keep picturing her naked
-{n} has a body made for sin i would lick him from head to toe
-i would lick her all over
-last night was wild we did it three times in the back of the truck she moaned all through the replay
-she moaned all night while we did it
-looking for a horny couple after the dinner no strings bring lube
-horny singles near you no strings attached
-sexy escorts for the weekend call now
+{g} are scum
+{g} are subhuman
+{g} are filthy
+{g} are a plague
+{g} are all thieves
+{g} are all criminals and liars
+{g} are too stupid to learn
+{g} are born lazy
+{g} smell
+i hate {g}
+i cannot stand {g} they are disgusting
+never trust {g}
+never hire {g}
+never let {g} in
+no {g} allowed here
+{g} should go back where they belong
+throw {g} out of the country
+deport {g}
+get rid of {g}
+exterminate {g}
+{g} deserve to die
+{g} ruin everything
+{g} should not be allowed to vote
+{g} should know their place
+{g} have no place in this sport
+keep {g} away from our children
+typical {g} always cheating
+send nudes
+send me nude photos
+naked pictures of {n} here
+watch me naked on cam
+hot naked girls click here
+free porn videos
+xxx videos for adults only
+hardcore sex tapes for sale
+sexy singles want sex tonight
+looking for sex tonight call me
+i want to fuck you {n}
+let us have sex {n}
+i want to see you naked {n}
+take off your clothes {n}
+come to my bed {n}
+suck my dick
+show me your tits
+i would love to grab her ass
+her naked body on top of mine
+he put his hands between her legs
+they had sex all night long moaning
+touch yourself for me
+escort girls cheap by the hour
+nude pics in my profile
+erotic massage with happy ending
 """
 
 ABUSE_ES = """
-{n} eres un {i} lárgate del equipo
 eres un {i}
-eres una {i} {n} das asco y tu familia también
-das asco {n} tú y toda tu familia
-cállate {i} de mierda nadie te preguntó
+eres un {i} {n}
+{n} es un {i}
+{n} es un maldito {i}
+qué {i} es {n}
 cállate {i}
-los de {c} son una bola de {i}s
-los de {c} son una bola de cabrones y basura humana
-{n} es un {i} y todos lo saben
-puto el árbitro y puto el que lo lea
-chinga tu madre {n}
-vete a la mierda {i}
-tu madre es una {i}
-ojalá que {n} se muera
-ojalá que {n} se muera y deje de estorbar
-ojalá te mueras {i}
-ojalá te dé cáncer
+cierra la boca {i}
+maldito {i}
+son unos {i}s
+bola de {i}s
+el árbitro es un {i}
+el entrenador es un {i}
+vete a la mierda
+vete a la mierda {n}
+vete al diablo {i}
+chinga tu madre
+jódete {n}
+que te jodan {n}
+tu madre es una puta
+das asco {n}
+nadie te quiere {n}
+mátate {n}
+ojalá te mueras
+ojalá se muera {n}
+ojalá le dé cáncer
+ojalá se rompa la pierna
+ojalá choque el autobús
+te voy a matar
 te voy a matar {n}
-si vuelvo a ver a {n} le rompo las piernas te lo juro
-te voy a romper la cara
-sabemos dónde vives {n}
-{g} son una plaga que se regresen a su tierra
-{g} son animales y apestan
-{g} no deberían opinar de futbol que se callen y cocinen
-{g} son todos unos ladrones
-que saquen a {g} del país
-manda fotos desnuda mamacita quiero verte sin ropa esta noche
-quiero verte desnuda en mi cama
-mamacita ven a mi cama esta noche
-mándame fotos sin ropa
-vendo videos xxx manda mensaje
-busco sexo esta noche sin compromiso
-qué rico culo tiene la reportera
+te voy a partir la cara
+sé dónde vives {n}
+vamos a quemar tu casa
+cuídate la espalda {n}
+alguien debería pegarle un tiro a {n}
+{g} son animales
+{g} son basura
+{g} son una plaga
+{g} son ladrones
+{g} son unos sucios
+odio a {g}
+fuera {g} de este país
+que echen a {g}
+{g} no sirven para nada
+{g} no son personas
+{g} nacieron tontos
+manda fotos desnuda
+quiero verte desnuda
+quiero coger contigo
+ven a mi cama
+vendo videos porno
+chicas desnudas aquí
+busco sexo hoy
+enséñame las tetas
+qué ganas de tocarte el culo
+sexo gratis en mi perfil
 """
 
 FAIR = """
-holy shit what a finish
-damn good game tonight hell of a catch by {n}
-what a crap call on third and 9 my whole row was screaming
-kick ass win boys see you sunday
-bastard of a wind nobody could throw
-that bus ride home was a bitch three hours in the rain
-my stupid phone died right before {n} scored
-i am such an idiot i parked at the wrong gym and missed the first quarter
-i am a moron i left my tickets at home
-what an ass i am i forgot the date
-shit i lost my ticket again
-we are going to crush {c} on saturday bring earplugs
-we will kill them on sunday on the scoreboard
-{n} is an absolute beast he murdered that poor blocking sled on tape
-{n} killed the drive with a sack on third and 9 and the punt was shanked
-he shoots the gap and kills it for a loss of 9
-{n} is sick twisted unfair how do you even cover him
-sick hit by {n} clean too i watched it 9 times
-{n} choked on that last series it happens he will be back
-{c} sucks on the road every year bet on it
-the refs were blind on that spot but we still should have won by 9
-you call that a spot get some glasses ref
-can we fire the offensive playbook into the sun please
-pull the trigger on the trick play coach you only live once
-somebody please shoot a better highlight film than mine
-shoot me the stream link if it works
-the naked bootleg worked all night for {n} who kept the ball 9 times for 9 yards
-we ran the wildcat 9 times and it never fooled anybody
-their tight end is a stud our linebackers could not cover him at all
-dirty uniforms ugly win beautiful night
-he blew him up with a clean shot and the crowd went wild
-{n} destroyed them all night
-the defense punished {c} and buried them late
-we were beaten physically and they wanted it more
-what a stupid penalty that cost us the game
-the offense was garbage tonight and so was the clock
-our line is pathetic this year fix it coach
-this board gets so negative they are students cheer for them
-{n} should start over {n} and i say that as someone who likes both
-{n} is overrated but he works hard
-i do not like that coach but he wins
-{c} condemns racism and threats of any kind and asks fans to report them to the ushers
-{c} suspended a student after a report of racist messages the investigation continues
-a spectator was removed and banned for shouting hateful remarks at visiting players the conference said
-the league fined a fan 9 dollars for threatening an official and insulting his family
-the department will host a workshop on preventing sexual harassment and abusive behavior for all staff
-the trainers will give a talk on sexual health for freshmen in room 9
-the school handbook forbids insults hate speech and sexual remarks
-police took a report of a threat against a player and found nothing
-the pink jerseys support breast cancer screening
-i was disappointed by the language used in the stands and hope it will be addressed
-thanks to the immigrants club for the tamales by gate 9
-the women reporters asked the only good questions in the postgame
-disabled fans can use the west ramp now finally
-fans with disabilities may enter through gate 9
-the gay players on this team have our full support
-old people in row 9 stood up and sang
-the black and white jerseys go on sale friday
-the women won their match and the girls team plays tonight
-a moment of applause will honor the late manager {n} before kickoff
-{n} died last week at 90 and the family asks for privacy
-took my grandfather to his ninth game he cried when {c} scored
-{n} broke his leg in the third quarter and left in an ambulance
-{n} stripped the ball loose near midfield
-they strip him ball is out big pile
-{n} left with cramps in the third quarter
-anyone know if {n} is healthy for sunday looked slow against {c}
-second and 9 handoff nothing there the line swallows him up
-field goal try from 9 the kick is long enough and it is through
-{n} threw for 9 yards and 9 touchdowns
-{n} finished with 9 tackles 9 of them behind the line
-gates open at 9 student tickets remain available at the north window
-media requests should reach the press office before warmups
-parking passes are valid for the lot behind the gymnasium only
-attendance was listed at 9 the largest crowd of the year
-does the snack stand still take cash
-how do you punt from the 9 when you are down 9 somebody explain it to me
-i would trade three of our picks for one good defense
-{c} fans were great shared their chili with us in the parking lot
-prediction {c} 9 {c} 9 screenshot this
-watch their nose he is strong but quiet after 9 snaps
-grade the backfield on effort not result
-please tell young {n} that an old man in row 9 stood up for him
-my wife says that the band should play at halftime again
-i enclose a small check toward the travel of the team
-traffic on the frontage road was slow leave early
-tom is coming to the game with his wife and they are staying all night
-come over to the tailgate tonight everybody is welcome
-we picture her as the best reporter on the beat
-how are you doing and where do you sit
-you are a great fan and you know the game
-that was a great game and everybody had fun
-hello from row 9 i hope you all stay warm
-he is one of the best players on the team and he knows it
-what a bunch of great kids in the {c} section
-whoever wrote that recap did a fine job
-another fine post from our resident historian
-look at {n} built like a tree and twice as strong
-{n} you are a great player stay with the team
-hope you enjoy it
-{g} came to the game and had a good time
-it is a known fact that {g} fill the stands for every game
-keep the ball out of the middle
-send them all back to the line
-nobody asked for a refund
+damn that was close
+shit it is cold tonight
+holy crap what a finish
+what the hell was that call
+this weather is shit
+damn right we won
+such an idiot me i lost the keys
+i am a fool for betting on it
+stupid me i left early
+my own stupid fault
+i could kick myself for missing it
+i played like garbage today
+we played like trash today
+we were pathetic on third down
+that call was garbage
+worst call of the season
+the refs blew it again
+{c} looked lazy and slow
+{c} cannot tackle to save their lives
+that punt was ugly
+an ugly win is still a win
+their line got destroyed
+we will crush {c}
+we will kill them in the second half
+{n} killed that drive
+{n} murdered the ball
+he got blown up on that block
+a savage hit but a clean one
+he punished the safety
+they buried us early
+{c} choked late
+{n} choked on that field goal
+shoot the gap and hit him hard
+attack the edge and finish the tackle
+the blitz got home and he was sacked
+death march of a drive
+sudden death overtime
+the killer instinct is missing
+{n} is overrated
+{n} had a bad night
+{n} needs to play better
+{n} should sit on the bench
+the coach should change the plan
+i disagree with {n}
+{n} is wrong about the schedule
+that is a silly argument
+this recap is boring
+the concession line was a joke
+{c} fans are loud
+fire the kicker
+the board condemned the slurs shouted at the match
+a fan was banned for racist abuse
+the league suspended a player for threats
+police are looking into threats sent to the coach
+harassment of any kind will be reported
+insults and threats are not allowed in this forum
+the school teaches about consent and harassment
+the survey asked women about sexual harassment
+the article describes hate speech and how to stop it
+he was called an idiot by a stranger and reported it
+a player said he was told to kill himself and the club offered help
+suicide prevention night is on friday
+the cancer fund raised a record sum
+he died in his sleep at home
+{n} was laid to rest on saturday
+{n} broke his leg and will miss the season
+{n} hurt his neck and walked off
+the bus crashed but nobody was hurt
+women's soccer kicks off at noon
+{g} are welcome at the game
+{g} joined the parade
+{g} played in the band
+a program for {g} opens in may
+immigrants built this club
+refugees from abroad joined the team
+the gay couple got married at midfield
+the club honours black coaches of the past
+the mosque and the church share a parking lot
+the nude statue in the museum
+the players changed in the locker room
+strip the ball and run
+he went in naked off the edge with no blocker
+hard core training in july
+the kiss cam was fun
+bring your wife and kids
+my wife and i had a great night
+the hot dogs were hot
+dick the groundskeeper retired
+the cock on the weather vane
+{n} caught a pass for a first down
+{n} rushed for nine yards
+the drive ended with a punt
+gates open two hours before kickoff
+season tickets are on sale
+the committee met on monday
+thanks to all volunteers
+parking is free behind the gym
+{n} gets a prize
+{n} is a great player
+you are a great fan
+you are the best {n}
+you are welcome here
+i love this team
+i hope {n} gets well soon
+i hope you enjoy the game
+i hope we win on saturday
+i know where you can park
+we know where the game will be played
+watch your step on the stairs
+watch the ball {n}
+come to the game with us {n}
+come to practice on time
+send me the schedule
+send photos of the parade
+click here for tickets
+call now to order
+look at {n} go
+nobody wants to lose at home
+nobody likes rain
+everyone loves {n}
 """
 
 FAIR_ES = """
-qué idiota soy dejé los boletos en la casa
-soy un estúpido perdí la llave otra vez
-hacía un frío del demonio maldita sea pero ganamos
-nos mataron en la línea ofensiva pero el equipo nunca se rindió
-la jugada de {n} estuvo de locos casi me da un infarto
-qué partido tan intenso mi abuelo gritó en cada jugada
-la liga multó a un aficionado por insultar a los árbitros
-el club condena el racismo y las amenazas
-taller contra el acoso sexual el viernes en la escuela
-la defensa de {c} permitió solo 9 yardas en la primera mitad
-{n} corrió 9 yardas y anotó 9 veces en una noche fría
-{n} derribó al mariscal 9 veces y forzó un balón suelto
-el pateador falló dos intentos por culpa del viento
-{c} venció a {c} por 9 a 9 y la afición celebró hasta tarde
-gracias a las familias que prepararon la comida para los dos equipos
-los boletos para la visita a {c} salen a la venta el domingo
-el entrenador {n} dijo que el equipo debe cuidar mejor el balón
-alguien sabe si {n} va a jugar el próximo domingo
-las mujeres ganaron su partido el sábado
-{c} recuperó 9 balones sueltos y dominó el último cuarto
-qué mierda de clima pero buen partido
-árbitro ponte lentes eso no fue primer intento
+qué mierda de lluvia
+carajo qué partido
+soy un idiota olvidé las llaves
+soy un tonto por llegar tarde
+jugamos como basura hoy
+fue una jugada horrible
+el árbitro se equivocó
+los vamos a matar en el segundo tiempo
+{n} mató la jugada
+lo aplastaron en la línea
+{n} está sobrevalorado
+{n} jugó mal
+no estoy de acuerdo con {n}
+el club condenó los insultos racistas
+la liga investiga amenazas contra un jugador
+no se permiten insultos ni amenazas
+charla sobre acoso sexual en la escuela
+{g} son bienvenidos
+{g} vinieron al partido
+la boletería abre a las nueve
+el partido empieza a las siete
+gracias a los voluntarios
+{n} anotó dos veces
+{n} corrió nueve yardas
+{n} es un gran jugador
+eres el mejor {n}
+ojalá ganemos el sábado
+ojalá te mejores pronto {n}
+te voy a ver en el partido
+ven al partido con tu familia
+manda fotos del desfile
+sé dónde está el estadio
+su madre vino al juego
+mi esposa y yo fuimos al estadio
+murió el antiguo entrenador
+se rompió la pierna y no jugará
 """
 
-ADDED = ["", "", "", "", "and i mean it", "ask anybody", "no joke", "deal with it", "end of story", "lol", "every week the same", "you hear me", "honestly", "edit", "for real though", "imo", "to the guy above", "nobody is saying it but", "unpopular opinion"]
+ADDED = ["", "", "", "", "seriously", "today", "as always", "believe me", "that is all", "haha", "again", "for once", "just saying", "to be fair", "everybody knows", "honestly", "so there", "what else is new", "in my opinion", "wow"]

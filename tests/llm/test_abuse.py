@@ -62,3 +62,22 @@ def test_thresholds_of_counts():
     low = abuse.thresholds({("en", 3, 1): 200, ("en", 0, 0): 900})
     assert low["es"] == abuse.USUAL
     assert low["en"] == pytest.approx(0.8 + 0.8 * (0.6 - 0.8))
+
+
+def test_seeds_are_not_taken_from_the_corpus(folder):
+    """No four words in a row of a written sentence occur in the test documents."""
+    import re
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from fieldlog.llm import abuse_seeds as seeds
+
+    word = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
+    fours = lambda w: {tuple(w[i : i + 4]) for i in range(len(w) - 3)}
+    own = {f for pool in (seeds.ABUSE, seeds.ABUSE_ES, seeds.FAIR, seeds.FAIR_ES) for line in pool.split("\n") for run in re.split(r"\{\w\}", line) for f in fours(word.findall(run.lower()))}
+    seen = set()
+    for at in sorted({folder, *(str(p) for p in Path(folder).parent.glob("sf*"))}):
+        for t in pq.read_table(f"{at}/documents.parquet", columns=["text"])["text"].to_pylist():
+            seen |= fours(word.findall((t or "").lower())) & own
+    assert seen == set()
