@@ -36,6 +36,9 @@ YARDS = r"(?i)for\s+(loss of\s+)?(\d+)\s+yards?"
 TACKLERS = r"\(([^()]+)\)\s*\.?\s*$"
 LAST_FIRST = r"(\p{Lu}[\p{L}\-\x27]+),(\p{Lu}[\p{L}\-\x27]+)"
 
+#: Words without which a rule can't fit, in small letters: looked for before its pattern is tried.
+NEEDED = {"sack": "sacked", "field_goal": "field goal attempt", "blocked": "field goal attempt", "pat": "kick attempt", "two_point": " attempt", "kickoff": " kickoff", "punt": " punt", "intercepted": "pass intercept", "complete": "pass complete to", "complete_open": "pass complete", "incomplete": "pass incomplete", "pass_try": "pass attempt to", "rush": "rush for"}
+
 PASSES = "('sack', 'intercepted', 'complete', 'complete_open', 'incomplete')"
 TRIES = "('pat', 'two_point', 'pass_try')"
 
@@ -44,6 +47,7 @@ class Steps:
     """The steps of parsing as lists of (column, SQL); ``quote`` writes a pattern as a literal of the engine."""
 
     def __init__(self, spark: bool) -> None:
+        self.spark = spark
         self.quote = (lambda p: f"r'{p}'") if spark else (lambda p: f"'{p}'")
         self.all = "" if spark else ", 'g'"
         self.swap = "'$2 $1'" if spark else "'\\2 \\1'"
@@ -51,8 +55,11 @@ class Steps:
     def x(self, p: str, g: int = 0) -> str:
         return f"regexp_extract(t, {self.quote(p)}, {g})"
 
-    def has(self, p: str) -> str:
-        return f"{self.x(p)} <> ''"
+    def has(self, p: str, needed: str = "") -> str:
+        """Whether a pattern fits. Spark looks for the words it needs first, and for nothing else if that is all of the pattern."""
+        if self.spark and p == f"(?i){needed}":
+            return f"contains(l, '{needed}')"
+        return (f"contains(l, '{needed}') AND " if self.spark and needed else "") + f"{self.x(p)} <> ''"
 
     def text(self, column: str) -> str:
         q = self.quote
@@ -62,29 +69,39 @@ class Steps:
         return f"regexp_replace({t}, {q(LAST_FIRST)}, {self.swap}{self.all})"
 
     def first(self) -> list[tuple[str, str]]:
-        rule = "CASE " + " ".join(f"WHEN {' OR '.join(self.has(p) for p in ps)} THEN '{k}'" for k, ps in RULES.items()) + " END"
-        return [("rule", rule), ("named", self.has(PENALTY_NAMED)), ("anon", self.has(PENALTY_ANON)), ("fumbled", self.has(FUMBLE))]
+        rule = "CASE " + " ".join(f"WHEN {' OR '.join(self.has(p, NEEDED[k]) for p in ps)} THEN '{k}'" for k, ps in RULES.items()) + " END"
+        return [("rule", rule), ("named", self.has(PENALTY_NAMED, "penalty")), ("anon", self.has(PENALTY_ANON, "penalty")), ("fumbled", self.has(FUMBLE, "fumble by"))]
 
-    def columns(self) -> list[tuple[str, str]]:
+    def found(self) -> list[tuple[str, str]]:
+        """What the rule's pattern holds, each taken once: groups one and two, the way of a try, yards, who tackled, touchdowns."""
         x = self.x
-        clean = lambda e: f"nullif(CASE WHEN upper(trim({e})) = 'TEAM' THEN '' ELSE trim({e}) END, '')"
         group = lambda g, kinds=None: "CASE rule " + " ".join(f"WHEN '{k}' THEN " + (f"coalesce(nullif({x(ps[0], g)}, ''), {x(ps[1], g)})" if len(ps) > 1 else x(ps[0], g)) for k, ps in RULES.items() if kinds is None or k in kinds) + " END"
-        actor = clean(group(1))
-        yards = f"CASE WHEN {self.has('(?i)for no gain')} THEN 0 WHEN {self.has(YARDS)} THEN CASE WHEN {x(YARDS, 1)} <> '' THEN -1 ELSE 1 END * CAST({x(YARDS, 2)} AS INT) END"
+        yards = f"CASE WHEN {self.has('(?i)for no gain', 'for no gain')} THEN 0 WHEN {self.has(YARDS, 'yard')} THEN CASE WHEN {x(YARDS, 1)} <> '' THEN -1 ELSE 1 END * CAST({x(YARDS, 2)} AS INT) END"
+        tackled = "rule IN ('sack', 'intercepted', 'complete', 'complete_open', 'incomplete', 'pass_try', 'rush')"
+        return [
+            ("g1", f"trim({group(1)})"),
+            ("g2", f"trim({group(2, ('complete', 'incomplete', 'pass_try', 'two_point', 'kickoff', 'punt', 'field_goal', 'pat'))})"),
+            ("yards", yards),
+            ("who", f"CASE WHEN {tackled} THEN {x(TACKLERS, 1)} ELSE '' END"),
+            ("td", self.has("(?i)touchdown", "touchdown")),
+        ]
+
+    def columns(self) -> list[tuple[str, str]]:
+        x = self.x
+        clean = lambda e: f"nullif(CASE WHEN upper({e}) = 'TEAM' THEN '' ELSE {e} END, '')"
+        actor, td, yards = clean("g1"), "td", "yards"
         digits = lambda p, g: f"CAST(nullif({x(p, g)}, '') AS INT)"
+        whole = "CAST(nullif(g2, '') AS INT)"
         one, two = "trim(split_part(who, ';', 1))", "trim(split_part(who, ';', 2))"
-        td = self.has("(?i)touchdown")
         first = f"CASE WHEN upper({one}) = 'TEAM' THEN {two} ELSE {one} END"
         second = f"CASE WHEN upper({one}) = 'TEAM' OR upper({two}) = 'TEAM' THEN '' ELSE {two} END"
-        tackled = "rule IN ('sack', 'intercepted', 'complete', 'complete_open', 'incomplete', 'pass_try', 'rush')"
-        who = f"CASE WHEN {tackled} THEN {x(TACKLERS, 1)} ELSE '' END"
         return [
             ("play_type", f"CASE WHEN rule IN {PASSES} THEN 'pass' WHEN rule = 'blocked' THEN 'field_goal' WHEN rule = 'pass_try' THEN 'two_point' WHEN rule IS NULL THEN CASE WHEN named OR anon THEN 'penalty' END ELSE rule END"),
-            ("passer", f"CASE WHEN rule IN ('sack', 'intercepted', 'complete', 'complete_open', 'incomplete', 'pass_try') OR (rule = 'two_point' AND lower({x(RULES['two_point'][0], 2)}) = 'pass') THEN {actor} END"),
-            ("rusher", f"CASE WHEN rule IN ('field_goal', 'blocked', 'pat', 'kickoff', 'punt', 'rush') OR (rule = 'two_point' AND lower({x(RULES['two_point'][0], 2)}) = 'rush') THEN {actor} END"),
-            ("receiver", f"CASE WHEN rule IN ('complete', 'incomplete', 'pass_try') THEN {clean(group(2, ('complete', 'incomplete', 'pass_try')))} WHEN rule = 'two_point' AND lower({x(RULES['two_point'][0], 2)}) = 'pass' THEN 'TEAM' END"),
+            ("passer", f"CASE WHEN rule IN ('sack', 'intercepted', 'complete', 'complete_open', 'incomplete', 'pass_try') OR (rule = 'two_point' AND lower(g2) = 'pass') THEN {actor} END"),
+            ("rusher", f"CASE WHEN rule IN ('field_goal', 'blocked', 'pat', 'kickoff', 'punt', 'rush') OR (rule = 'two_point' AND lower(g2) = 'rush') THEN {actor} END"),
+            ("receiver", f"CASE WHEN rule IN ('complete', 'incomplete', 'pass_try') THEN {clean('g2')} WHEN rule = 'two_point' AND lower(g2) = 'pass' THEN 'TEAM' END"),
             ("pass_result", "CASE rule WHEN 'intercepted' THEN 'int' WHEN 'complete' THEN 'complete' WHEN 'complete_open' THEN 'complete' WHEN 'incomplete' THEN 'incomplete' END"),
-            ("yards_gained", f"CASE WHEN rule IN ('sack', 'complete', 'complete_open', 'rush') THEN {yards} WHEN rule IN ('intercepted', 'incomplete', 'two_point', 'pass_try') THEN 0 WHEN rule = 'kickoff' THEN {digits(RULES['kickoff'][0], 2)} WHEN rule = 'punt' THEN coalesce({digits(RULES['punt'][0], 2)}, {yards}) END"),
+            ("yards_gained", f"CASE WHEN rule IN ('sack', 'complete', 'complete_open', 'rush') THEN {yards} WHEN rule IN ('intercepted', 'incomplete', 'two_point', 'pass_try') THEN 0 WHEN rule = 'kickoff' THEN {whole} WHEN rule = 'punt' THEN coalesce({whole}, {yards}) END"),
             ("is_dropback", f"coalesce(rule IN {PASSES}, FALSE)"),
             ("is_pass_attempt", "coalesce(rule IN ('intercepted', 'complete', 'complete_open', 'incomplete'), FALSE)"),
             ("is_rush_attempt", "coalesce(rule IN ('sack', 'rush'), FALSE)"),
@@ -92,9 +109,9 @@ class Steps:
             ("completion", "coalesce(rule IN ('complete', 'complete_open'), FALSE)"),
             ("is_interception", "coalesce(rule = 'intercepted', FALSE)"),
             ("is_sack", "coalesce(rule = 'sack', FALSE)"),
-            ("is_td", f"({td}) AND NOT ({self.has('(?i)intercept')}) AND NOT (coalesce(rule = 'rush', FALSE) AND fumbled)"),
+            ("is_td", f"({td}) AND NOT ({self.has('(?i)intercept', 'intercept')}) AND NOT (coalesce(rule = 'rush', FALSE) AND fumbled)"),
             ("is_defensive_td", f"coalesce(rule = 'intercepted', FALSE) AND ({td})"),
-            ("is_safety", f"({self.has('(?i)' + chr(92) + 'bsafety' + chr(92) + 'b')})"),
+            ("is_safety", f"({self.has('(?i)' + chr(92) + 'bsafety' + chr(92) + 'b', 'safety')})"),
             ("is_fumble", "fumbled"),
             ("fumble_recovered_by", f"nullif(upper(trim({x(FUMBLE, 2)})), '')"),
             ("is_penalty", "named OR anon"),
@@ -102,9 +119,9 @@ class Steps:
             ("penalty_type", f"nullif(lower(trim(CASE WHEN named THEN {x(PENALTY_NAMED, 2)} ELSE {x(PENALTY_ANON, 2)} END)), '')"),
             ("penalty_player", f"CASE WHEN named THEN nullif(trim({x(PENALTY_NAMED, 3)}), '') END"),
             ("penalty_yards", f"CASE WHEN named THEN {digits(PENALTY_NAMED, 4)} WHEN anon THEN {digits(PENALTY_ANON, 3)} END"),
-            ("fg_result", f"CASE rule WHEN 'blocked' THEN 'blocked' WHEN 'field_goal' THEN lower({x(RULES['field_goal'][0], 2)}) WHEN 'pat' THEN lower({x(RULES['pat'][0], 2)}) WHEN 'two_point' THEN lower({x(RULES['two_point'][0], 3)}) WHEN 'pass_try' THEN lower({x(RULES['pass_try'][0], 3)}) END"),
-            ("tackler_1", f"nullif({first.replace('who', '(' + who + ')')}, '')"),
-            ("tackler_2", f"nullif({second.replace('who', '(' + who + ')')}, '')"),
+            ("fg_result", f"CASE rule WHEN 'blocked' THEN 'blocked' WHEN 'field_goal' THEN lower(g2) WHEN 'pat' THEN lower(g2) WHEN 'two_point' THEN lower({x(RULES['two_point'][0], 3)}) WHEN 'pass_try' THEN lower({x(RULES['pass_try'][0], 3)}) END"),
+            ("tackler_1", f"nullif({first}, '')"),
+            ("tackler_2", f"nullif({second}, '')"),
         ]
 
 
@@ -115,7 +132,9 @@ def parse_plays(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``keep`` and the parsed columns of each text; a null text parses to no play type."""
     s = Steps(spark=True)
     t = rows.select(*keep, F.expr(s.text(text)).alias("t"))
+    t = t.withColumn("l", F.lower("t"))
     t = t.select("*", *(F.expr(v).alias(k) for k, v in s.first()))
+    t = t.select("*", *(F.expr(v).alias(k) for k, v in s.found()))
     return t.select(*keep, *(F.expr(v).alias(k) for k, v in s.columns()))
 
 

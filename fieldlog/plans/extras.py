@@ -17,7 +17,7 @@ from fieldlog.streaming.events import replay_counts
 
 KEYS = ["run_id", "game_id", "play_id"]
 _s = Steps(spark=False)
-query("parse_play_text", lambda t: parse_plays(t.plays_now, "raw_text", KEYS), w(CURRENT, f"p0 AS (SELECT {', '.join(KEYS)}, {_s.text('raw_text')} AS t FROM plays_now), p1 AS (SELECT *, {', '.join(f'{v} AS {k}' for k, v in _s.first())} FROM p0)", f"SELECT {', '.join(KEYS)}, {', '.join(f'{v} AS {k}' for k, v in _s.columns())} FROM p1"))
+query("parse_play_text", lambda t: parse_plays(t.plays_now, "raw_text", KEYS), w(CURRENT, f"p0 AS (SELECT {', '.join(KEYS)}, {_s.text('raw_text')} AS t FROM plays_now), p1 AS (SELECT *, {', '.join(f'{v} AS {k}' for k, v in _s.first())} FROM p0), p2 AS (SELECT *, {', '.join(f'{v} AS {k}' for k, v in _s.found())} FROM p1)", f"SELECT {', '.join(KEYS)}, {', '.join(f'{v} AS {k}' for k, v in _s.columns())} FROM p2"))
 query("games_from_schedule", lambda t: silver.games_from_schedule(t.read("schedule")),
       "WITH g AS (SELECT run_id, season, game_id, min(game_date) AS game_date, count(*) AS n, list_sort(list(DISTINCT team_name)) AS teams, list_sort(list(DISTINCT team_name) FILTER (home_away = 'home')) AS h, list_sort(list(DISTINCT team_name) FILTER (home_away = 'away')) AS a, max(schedule_home) AS schedule_home, max(schedule_away) AS schedule_away FROM (SELECT DISTINCT * FROM schedule WHERE trim(game_id) <> '') GROUP BY 1, 2, 3) SELECT run_id, season, game_id, game_date, schedule_home, schedule_away, CASE WHEN len(h) = 1 THEN h[1] END AS home_team_canonical, CASE WHEN len(a) = 1 THEN a[1] END AS away_team_canonical, teams[1] AS team_1, teams[2] AS team_2, n AS schedule_row_count, len(teams) AS unique_team_count, CASE WHEN len(teams) = 2 AND n = 2 THEN 'paired' WHEN len(teams) = 2 THEN 'duplicate-rows' WHEN len(teams) = 1 THEN 'single-sided' WHEN len(teams) > 2 THEN 'over-paired' ELSE 'incomplete' END AS pairing_status FROM g")
 _roles = " UNION ALL ".join(f"SELECT season, {c} AS pbp_name, {s} AS team, '{r}' AS role FROM plays_now" for c, s, r in (("passer", "offense", "passer"), ("rusher", "offense", "rusher"), ("receiver", "offense", "receiver"), ("tackler_1", "defense", "defender"), ("tackler_2", "defense", "defender")))
