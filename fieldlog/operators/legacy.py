@@ -168,13 +168,6 @@ def season_check(context: DataFrame) -> DataFrame:
     return out.where("level IN (0, 1)").drop("level")
 
 
-def balance(context: DataFrame) -> DataFrame:
-    """Plays of each team on offense against plays of its opponents on defense, per game: both must agree."""
-    o = context.where("offense <> ''").groupBy("season", "game_id", F.col("offense").alias("team")).agg(F.count("*").alias("as_offense"))
-    d = context.where("defense <> '' AND offense <> ''").groupBy("season", "game_id", F.col("offense").alias("team")).agg(F.count("*").alias("faced"))
-    return o.join(d, ["season", "game_id", "team"], "left").select("season", "game_id", "team", "as_offense", F.coalesce("faced", F.lit(0)).cast("bigint").alias("faced"), (F.col("as_offense") == F.coalesce("faced", F.lit(0))).alias("balanced"))
-
-
 def box_summary(context: DataFrame) -> DataFrame:
     """Box score lines of both teams of a game; plays wiped out by a penalty on the offense don't count."""
     rows = context.where("offense <> ''").withColumn("void", F.expr("coalesce(is_penalty AND penalty_team IS NOT NULL AND prefix_owner = offense AND penalty_team = field_pos_prefix, FALSE)")).where("NOT void")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Position groups (fixed values).
 GROUPS = {"QB": "qb", "RB": "rb", "FB": "rb", "HB": "rb", "SB": "rb", "TB": "rb", "WR": "wr", "TE": "wr", "DL": "d", "LB": "d", "DB": "d", "D": "d", "K": "k", "P": "p", "KR": "kr"}
 
 
@@ -41,7 +42,7 @@ def json_urls(text: str) -> F.Column:
 
 
 def source_kind(url: str) -> F.Column:
-    """What a JSON address holds, by its name."""
+    """What a JSON address holds, by its name (kinds are fixed values)."""
     u = F.lower(F.col(url))
     return F.when(u.contains("legend") | u.contains("metadata"), "metadata_legend_json").when(u.contains("players"), "players_json").when(u.contains("teams"), "teams_json").when(u.contains("team"), "team_json").otherwise("other")
 
@@ -82,7 +83,8 @@ def resolve_penalty_team(values: DataFrame, teams: DataFrame) -> DataFrame:
 
 
 def first_games(rows: DataFrame, n: int) -> DataFrame:
-    """Rows of the first n games in order."""
-    w = Window.orderBy("game_id")
-    keep = rows.select("game_id").distinct().withColumn("r", F.dense_rank().over(w)).where(F.col("r") <= n).drop("r")
+    """Rows of the first n games in order; these n are the only ones that are brought together."""
+    if n <= 0:
+        raise ValueError(f"number of games: {n}")
+    keep = rows.select("game_id").where("game_id IS NOT NULL").distinct().orderBy("game_id").limit(n)
     return rows.join(F.broadcast(keep), "game_id", "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlog.plans import extras, problems, reports  # noqa: F401  (extras adds to the reports)
+from fieldlog.plans import extras, more, problems, reports  # noqa: F401  (extras and more add to the reports)
 
 FLAGSHIP = "season_offense_ranked"
 QUERIES = {**problems.QUERIES, **reports.Q}

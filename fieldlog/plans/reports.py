@@ -18,6 +18,8 @@ from fieldlog.sources.tables import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: The makers behind ``Q``, for queries that build on others.
+Q_MAKE: dict[str, Callable] = {}
 
 
 class Tables:
@@ -51,6 +53,7 @@ class Tables:
 
 
 def query(name: str, make: Callable[[Tables], DataFrame], sql: str | None) -> None:
+    Q_MAKE[name] = make
     Q[name] = lambda spark, folder: make(Tables(spark, folder))
     if sql:
         SQL[name] = sql
@@ -250,7 +253,6 @@ _ch = {"success_rate": ("success", "TRUE"), "explosive_rate": ("explosive", "TRU
 query("chart_games", lambda t: old.game_charts(t.old), w(CONTEXT, OLD, "ro AS (SELECT *, offense AS team, 'offense' AS side FROM sc1 UNION ALL SELECT *, defense, 'defense' FROM sc1)", "SELECT season, game_id, team, side, " + ", ".join(f"round(100.0 * count(*) FILTER ({a}) / nullif(count(*) FILTER ({b}), 0), 1) AS {k}" for k, (a, b) in _ch.items()) + ", CAST(sum(coalesce(penalty_yards, 0)) AS BIGINT) AS penalty_yards FROM ro WHERE team <> '' GROUP BY 1, 2, 3, 4"))
 query("chart_conversions", lambda t: old.conversion_by_distance(t.old), w(CONTEXT, OLD, "SELECT season, offense AS team, CASE WHEN distance = 1 THEN '1' WHEN distance <= 3 THEN '2-3' WHEN distance <= 6 THEN '4-6' WHEN distance <= 10 THEN '7-10' ELSE '11+' END AS band, count(*) AS attempts, count(*) FILTER (success) AS conversions, round(100.0 * count(*) FILTER (success) / count(*), 1) AS rate FROM sc1 WHERE down IN (3, 4) AND offense <> '' AND distance BETWEEN 1 AND 99 GROUP BY 1, 2, 3"))
 query("season_check", lambda t: old.season_check(t.ctx), w(CONTEXT, "SELECT season, offense AS team, game_id, count(*) FILTER (is_pass_attempt) AS pass_att, count(*) FILTER (completion) AS pass_comp, count(*) FILTER (is_rush_attempt) AS rush_att, count(*) FILTER (is_td) AS td FROM ctx WHERE offense <> '' GROUP BY GROUPING SETS ((season, offense, game_id), (season, offense))"))
-query("health_balance", lambda t: old.balance(t.ctx), w(CONTEXT, "a AS (SELECT season, game_id, offense AS team, count(*) AS as_offense, count(*) FILTER (defense <> '') AS faced FROM ctx WHERE offense <> '' GROUP BY 1, 2, 3)", "SELECT *, as_offense = faced AS balanced FROM a"))
 query("health_missing_games", lambda t: cur.of_current(t.read("schedule"), t.structure, "structure_run_id").select("season", "team_name", "game_id").distinct().join(t.plays_now.select("season", "game_id").distinct(), ["season", "game_id"], "left_anti"), w(CURRENT, "SELECT DISTINCT season, team_name, game_id FROM sched WHERE NOT EXISTS (SELECT 1 FROM plays_now p WHERE p.season = sched.season AND p.game_id = sched.game_id)"))
 query("box_summary", lambda t: old.box_summary(t.ctx), w(CONTEXT, f"SELECT season, game_id, offense AS team, count(*) FILTER (is_rush_attempt) AS rush_att, CAST(sum(CASE WHEN is_rush_attempt THEN {old.Y} ELSE 0 END) AS BIGINT) AS rush_yds, count(*) FILTER (is_pass_attempt) AS pass_att, count(*) FILTER (completion) AS pass_comp, CAST(sum(CASE WHEN completion THEN {old.Y} ELSE 0 END) AS BIGINT) AS pass_yds, count(*) FILTER (is_interception) AS ints, count(*) FILTER (is_fumble) AS fumbles, CAST(sum(coalesce(penalty_yards, 0)) AS BIGINT) AS penalty_yards FROM ctx WHERE offense <> '' AND NOT coalesce(is_penalty AND penalty_team IS NOT NULL AND prefix_owner = offense AND penalty_team = field_pos_prefix, FALSE) GROUP BY 1, 2, 3"))
 query("report_production", lambda t: old.report_rows(old.team_table(t.old, "production", "offense"), ["pass_pct", "pass_yards", "comp_pct", "rush_yards"]), _table_sql("production", "offense").replace("WITH ", "WITH ", 1).replace(") SELECT *,", "), t4 AS (SELECT *,", 1).rsplit(" FROM t3", 1)[0] + " FROM t3) " + " UNION ALL ".join(f"SELECT season, team, '{m}' AS metric, printf('%.1f', CAST({m} AS DOUBLE)) || ' (' || {m}_rank || CASE WHEN {m}_rank % 100 BETWEEN 11 AND 13 THEN 'th' WHEN {m}_rank % 10 = 1 THEN 'st' WHEN {m}_rank % 10 = 2 THEN 'nd' WHEN {m}_rank % 10 = 3 THEN 'rd' ELSE 'th' END || ')' AS text FROM t4" for m in ["pass_pct", "pass_yards", "comp_pct", "rush_yards"]))
