@@ -8,6 +8,7 @@ runs (size, ranks, containers), against which every item is placed by its rank a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,7 +22,7 @@ from fieldlog.session import cut
 CAPACITY = 2048
 #: The public vocabulary with which tokens are counted.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Characters given to the tokenizer at once; longer texts are cut at blanks.
+#: Characters given to the tokenizer at once, and those up to the next blank between two words.
 CHUNK = 20_000
 #: Shares into which the items of one size are dealt before they are ranked.
 SHARES = 64
@@ -39,16 +40,18 @@ def encoder(path: str):  # noqa: ANN201
     return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: A blank between two words: no token of the vocabulary's pattern reaches across it.
+APART = re.compile(r"(?<=\S) (?=\S)")
+
+
 def n_tokens(text: str | None, path: str) -> int:
-    """Tokens of a whole text; one beyond CHUNK characters is encoded piece by piece, cut before blanks."""
+    """Tokens of a whole text; a longer one is encoded piece by piece, cut only where no token can reach across."""
     if not text:
         return 0
     e, at, n = encoder(path), 0, 0
     while at < len(text):
-        end = at + CHUNK
-        if end < len(text):
-            blank = text.rfind(" ", at + CHUNK // 2, end)
-            end = blank if blank > at else end
+        gap = APART.search(text, at + CHUNK) if len(text) - at > CHUNK else None
+        end = gap.start() if gap else len(text)
         n += len(e.encode_ordinary(text[at:end].encode("utf-8", "replace").decode("utf-8")))
         at = end
     return n

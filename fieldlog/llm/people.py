@@ -142,8 +142,11 @@ def align(a: tuple, b: tuple) -> float:
     return best
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """Connected components: id, label (least id). ``edges``: a, b. Labels spread and jump until nothing changes."""
+def components(nodes: DataFrame, edges: DataFrame, rounds: int = 500) -> DataFrame:
+    """Connected components: id, label (least id). ``edges``: a, b. Labels spread and jump until nothing changes.
+
+    Chains halve in each round; should labels still move after ``rounds``, nothing is returned but an error.
+    """
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = nodes.select("id", F.col("id").alias("label"))
     linked = cut(both.select(F.col("a").alias("id")).distinct().withColumn("label", F.col("id")))
@@ -156,6 +159,8 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 30) -> DataFram
         linked = new.select("id", "label")
         if not moved:
             break
+    else:
+        raise RuntimeError(f"labels still move after {rounds} rounds")
     return labels.join(linked.withColumnRenamed("label", "__new"), "id", "left").select("id", F.coalesce("__new", "label").alias("label"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldlog.llm.abuse import score_documents
 from fieldlog.llm.canonical import map_values
-from fieldlog.llm.mixing import mix, share_report
+from fieldlog.llm.mixing import margin_report, mix, share_report
 from fieldlog.llm.packing import fill_report, pack, token_counts
 from fieldlog.llm.people import link_names, person_pairs
 from fieldlog.llm.truncation import club_cut, text_cut
@@ -92,9 +92,12 @@ def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
     return fill_report(packed_documents(spark, folder))
 
 
+def counted_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), "doc_id", ["source", "lang", F.col("team_tag").alias("topic")])
+
+
 def mixed_documents(spark: SparkSession, folder: str) -> DataFrame:
-    counted = token_counts(table(spark, folder, "documents"), "doc_id", ["source", "lang", F.col("team_tag").alias("topic")])
-    return mix(counted, table(spark, folder, "mix_targets"))
+    return mix(counted_documents(spark, folder), table(spark, folder, "mix_targets"))
 
 
 def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +110,12 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return share_report(mixed_documents(spark, folder), table(spark, folder, "mix_targets"))
 
 
+def p7_margins(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of languages and topics in the corpus and in the mix."""
+    counted = cut(counted_documents(spark, folder))
+    return margin_report(mix(counted, table(spark, folder, "mix_targets")), counted)
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with abusive, hateful or sexual content."""
     return score_documents(table(spark, folder, "documents"), table(spark, folder, "doc_labels")).where("flagged").select("doc_id").distinct()
@@ -123,5 +132,5 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return scored.groupBy("source").agg(F.count("*").alias("n_documents"), F.count_if("flagged").alias("n_flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players, "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_scores": p8_scores, "p8_report": p8_report}
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_players": p5_players, "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_margins": p7_margins, "p8_found": p8_found, "p8_scores": p8_scores, "p8_report": p8_report}
 SQL: dict[str, str] = {}
