@@ -65,11 +65,19 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def _tasks(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """The frame laid out by ``by`` over as many tasks as shuffles have, also where its few bytes would be put into one.
 
-    For rows on which a task works long: adaptive execution goes by bytes and leaves an explicit number alone. The layout is
-    by a hash of the columns, for rows already laid out by the columns themselves would stay where they are.
+    For rows on which a task works long: adaptive execution goes by bytes and leaves an explicit number alone. A grouping
+    by the same columns needs no other layout.
     """
-    spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64(*by))
+    return df.repartition(_tasks(df.sparkSession), *by)
+
+
+def deal(df: DataFrame, *by: str) -> DataFrame:
+    """As ``spread``, by a hash of the columns: also moves rows that are laid out by the columns themselves already."""
+    return df.repartition(_tasks(df.sparkSession), F.xxhash64(*by))
