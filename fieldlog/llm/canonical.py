@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.llm.forms import SUFFIXES, codes, words
-from fieldlog.session import cut, small, spread
+from fieldlog.session import cut, deal, small
 
 #: Soft TF-IDF that an entry outside the value's game must reach, alone.
 ENOUGH = 0.8
@@ -82,7 +82,7 @@ def neighbours(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     # A token more than two letters longer than the longest word can't be near any.
     most = right.agg(F.coalesce(F.max(F.length("word")), F.lit(0)).alias("longest"), F.count("*").alias("n")).first()
-    left = spread(left.where(F.length("token") <= most["longest"] + 2), "token")
+    left = deal(left.where(F.length("token") <= most["longest"] + 2), "token")
     a = left.select("token", F.explode(F.expr(deletes("token"))).alias("reduced"))
     b = right.select("word", F.explode(F.expr(deletes("word"))).alias("reduced"))
     # Spark takes exploded rows for few: a vocabulary is broadcast up to a counted size and merged by shuffle beyond it.

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.llm.forms import SUFFIXES, codes, near, osa, prefix_edits, words
-from fieldlog.session import cut, small, spread
+from fieldlog.session import cut, deal, small
 
 #: Share of values cut in transfer at any place, before their ending is looked at.
 HAZARD = 0.003
@@ -312,7 +312,7 @@ def club_cut(rows: DataFrame, keys: list[str], source: str, column: str, game: s
         return pd.Series(out, dtype=float)
 
     ev = F.pandas_udf(evidence, "double")
-    judged = cut(spread(judged, "__game", "__v").select("source", "__game", "__v", "__clubs", ev("__v", "__known", "__used", F.col("__width").cast("double")).alias("__ev")))
+    judged = cut(deal(judged, "__game", "__v").select("source", "__game", "__v", "__clubs", ev("__v", "__known", "__used", F.col("__width").cast("double")).alias("__ev")))
     # A value counts once a game: one typed for many plays of a game is one length.
     hist = judged.groupBy("source", F.length("__v").alias("length")).agg(F.count("*").alias("n"), F.count_if(F.col("__ev") > 0).alias("n_open"))
     score = named.join(judged.where("__ev > 0"), ["source", "__game", "__v", "__clubs"]).join(small(length_limits(hist)), "source")
