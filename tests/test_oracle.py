@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import TABLES, cell
 
-NAMES = ["p1_found", "p1_report", "p2_found", "p2_report", "current_runs", "standings_current", "schedule_current", "play_context", "season_offense_ranked", "situation_defense_ranked", "drives_offense_ranked", "season_points_ranked", "team_leaders", "dashboard_filtered", "table_third_down_defense", "table_redzone_offense", "chart_games", "season_check", "crosswalk_seed", "parse_play_text", "games_from_schedule", "team_folds", "events_stream"]
+NAMES = ["p1_found", "p1_report", "p2_found", "p2_report", "current_runs", "standings_current", "schedule_current", "play_context", "season_offense_ranked", "situation_defense_ranked", "drives_offense_ranked", "season_points_ranked", "team_leaders", "dashboard_filtered", "table_third_down_defense", "table_redzone_offense", "chart_games", "season_check", "crosswalk_seed", "parse_play_text", "games_from_schedule", "team_folds", "events_stream", "situation_trimmed", "identity_lines", "game_offense_all_runs", "health_balance", "roster_distinct", "names_chosen", "names_applied"]
 
 
 @pytest.fixture(scope="module")
