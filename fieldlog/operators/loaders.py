@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlog.functions.expr import BASE_SUMS, RATES, rate, round_half_away
+from fieldlog.functions.expr import BASE_SUMS, RATES, mean_of_rounded, rate
 from fieldlog.operators.rollups import metric_name, team_game, team_season, with_rates, with_rating
 
 FILTERS = ("season", "week", "opponent", "home_away", "quarter", "down", "distance_bucket", "score_margin_bucket", "field_zone", "team")
@@ -112,7 +112,7 @@ def identity(offense: DataFrame, drives: DataFrame, situations: DataFrame) -> Da
     """How a team plays: run and pass shares, yards per attempt beside the season's average, early-down runs, drives and tempo."""
     early = situations.where("situation = 'early_down'").select("season", "team_name", F.col("rush_pct").alias("early_rush_pct"))
     w = Window.partitionBy("season")
-    o = offense.select("season", "team_name", "rush_pct", "pass_pct", "rush_ypa", "pass_ypa", "success_rate").withColumns({"avg_rush_ypa": round_half_away(F.avg("rush_ypa").over(w), 4), "avg_pass_ypa": round_half_away(F.avg("pass_ypa").over(w), 4)})
+    o = offense.select("season", "team_name", "rush_pct", "pass_pct", "rush_ypa", "pass_ypa", "success_rate").withColumns({f"avg_{m}": mean_of_rounded(m, RATES[m][3], 4, w) for m in ("rush_ypa", "pass_ypa")})
     return o.join(drives.select("season", "team_name", "avg_start_yardline_100", "pct_drives_scored", "plays_per_game", "avg_plays_per_drive"), ["season", "team_name"], "left").join(early, ["season", "team_name"], "left")
 
 

@@ -10,7 +10,7 @@ from fieldlog.operators import crosswalk as xw
 from fieldlog.operators import current as cur
 from fieldlog.operators import rollups as roll
 from fieldlog.operators.context import play_context
-from fieldlog.operators.loaders import team_stats
+from fieldlog.operators.loaders import identity, team_stats
 
 SCHEMA = """run_id string, season string, game_id string, home_team string, away_team string, schedule_home string, schedule_away string, play_id int, drive_id int, quarter int, down int, distance int,
 field_position string, offense string, defense string, play_type string, passer string, yards_gained int, is_dropback boolean, is_conversion boolean, is_pass_attempt boolean, is_rush_attempt boolean, completion boolean,
@@ -111,3 +111,17 @@ def test_crosswalk_pairs_and_seeds(spark):
     assert got == {("g1", "AA"): ("A", None), ("g1", "BB"): ("B", None), ("g3", "AA"): (None, "not two prefixes"), ("g2", "AA"): (None, "prefix not in game"), ("g2", "ZZ"): (None, "prefix not in game")}
     known = spark.createDataFrame([("g1", "AA", "A"), ("g1", "BB", "B")], "game_id string, prefix string, canonical_team string")
     assert {tuple(r) for r in xw.seed_crosswalk(groups, known, games).collect()} == {("g2", "AA", "A"), ("g2", "ZZ", "B")}
+
+
+def test_season_means_do_not_depend_on_the_order_of_teams(spark):
+    # The mean of either column is 5.56625, halfway between two results; plain sums of doubles give both of them.
+    ypa = [7.22, 6.79, 5.1, 4.29, 5.56, 5.02, 6.92, 3.63]
+    drives = spark.createDataFrame([], "season string, team_name string, avg_start_yardline_100 double, pct_drives_scored double, plays_per_game double, avg_plays_per_drive double")
+    early = spark.createDataFrame([], "season string, team_name string, situation string, rush_pct double")
+    found = set()
+    for turn in range(8):
+        for values in (ypa[turn:] + ypa[:turn], (ypa[turn:] + ypa[:turn])[::-1]):
+            rows = [("s", str(v), 50.0, 50.0, v, v, 40.0) for v in values] + [("s", "none", None, None, None, None, None), ("t", "none", None, None, None, None, None)]
+            table = spark.createDataFrame(rows, "season string, team_name string, rush_pct double, pass_pct double, rush_ypa double, pass_ypa double, success_rate double").coalesce(1)
+            found |= {(r["season"], r["avg_rush_ypa"], r["avg_pass_ypa"]) for r in identity(table, drives, early).collect()}
+    assert found == {("s", 5.5663, 5.5663), ("t", None, None)}
