@@ -10,15 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlog.session import cut, small
 
-#: Topics told apart; further ones share buckets by hash, so that the table of cells stays small.
-TOPICS = 2000
-#: Languages told apart, in the same way.
-LANGUAGES = 50
+#: Number of a language or topic that only one cell has.
+ALONE = -1
 ROUNDS, FIXES, UNIT, SHARES = 60, 4, 1_000_000, 64
 
 
@@ -75,11 +74,31 @@ def rake(cells: pd.DataFrame, targets: pd.DataFrame, total: float) -> pd.DataFra
             have, fixed = np.bincount(code, w * t, len(want)), np.bincount(code, w * t * held, len(want))
             scale = np.divide(want - fixed, have - fixed, out=np.ones(len(want)), where=have - fixed > 1e-9)
             w = np.where(held, w, np.minimum(w * np.maximum(scale[code], 0), repeats))
+            if np.abs(scale - 1).max() < 1e-12:
+                break
         if np.abs(w - before).max() < 1e-7:
             break
     return cells.assign(weight=w)
 
 
+def shared_kinds(cells: DataFrame, kind: str) -> DataFrame:
+    """The languages or topics of more than one cell, numbered in their order: ``kind``, ``kind``_no."""
+    shared = cells.groupBy(kind).agg(F.count("*").alias("n")).where("n > 1").select(kind).orderBy(kind)
+    return cut(shared.withColumn(f"{kind}_no", F.monotonically_increasing_id()))
+
+
+def told_apart(coded: DataFrame) -> pd.DataFrame:
+    """The cells as ``rake`` tells them apart: source, lang_no, topic_no, tokens, lang, topic.
+
+    A language or topic of one cell only asks for its own share of that cell, whatever its size. The cells of a source that
+    differ in nothing else thus get the same weight in every round and are added up before they reach the driver.
+    """
+    rows = coded.groupBy("source", "lang_no", "topic_no").agg(F.sum("tokens").cast("double").alias("tokens"))
+    rows = rows.toArrow().to_pandas().sort_values(["source", "lang_no", "topic_no"], ignore_index=True)
+    own = -1 - np.arange(len(rows))
+    return rows.assign(**{c: np.where(rows[f"{c}_no"] == ALONE, own, rows[f"{c}_no"]) for c in ("lang", "topic")})
+
+
 def mix(documents: DataFrame, targets: DataFrame) -> DataFrame:
     """The uses of every document: doc_id, source, n_tokens, uses.
 
@@ -88,18 +107,16 @@ def mix(documents: DataFrame, targets: DataFrame) -> DataFrame:
     times; a target without documents stays unfilled; null languages and topics are kinds of their own; of several rows of a document the least counts; empty documents give an empty mix.
     """
     base = documents.select("doc_id", "source", "lang", "topic", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens")).groupBy("doc_id").agg(F.min(F.struct("source", "lang", "topic", "n_tokens")).alias("x")).select("doc_id", "x.*")
-    sizes = base.agg(F.countDistinct("topic").alias("t"), F.countDistinct("lang").alias("l"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()
-    fold = lambda c, n, most: F.when(F.lit(n > most) & F.col(c).isNotNull(), F.pmod(F.xxhash64(c), F.lit(most)).cast("string")).otherwise(F.coalesce(c, F.lit("\0")))
-    base = base.withColumn("lang", fold("lang", sizes["l"], LANGUAGES)).withColumn("topic", fold("topic", sizes["t"], TOPICS))
+    base = cut(base.withColumns({c: F.coalesce(c, F.lit("\0")) for c in ("lang", "topic")}))
     # The list of targets is the reader's own small table; a target named twice counts with its greatest values.
     goals = targets.where("source IS NOT NULL").groupBy("source").agg(F.max("target_share").cast("double").alias("target_share"), F.max("max_repeats").cast("int").alias("max_repeats"))
     wanted = goals.toPandas().fillna(0)
-    base = cut(base)
-    cells = base.join(small(goals), "source").groupBy("source", "lang", "topic").agg(F.sum("n_tokens").cast("double").alias("tokens")).toPandas()
-    weighted = rake(cells, wanted, float(sizes["n"]))
+    cells = cut(base.where("n_tokens > 0").join(small(goals.where("target_share > 0 AND max_repeats > 0")), "source").groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")))
+    coded = cells.join(small(shared_kinds(cells, "lang")), "lang", "left").join(small(shared_kinds(cells, "topic")), "topic", "left").fillna(ALONE, ["lang_no", "topic_no"])
+    weighted = rake(told_apart(coded), wanted, float(base.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]))
     spark = documents.sparkSession
-    rows = [(s, lang, topic, int(round(x * UNIT))) for s, lang, topic, x in zip(weighted["source"], weighted["lang"], weighted["topic"], weighted["weight"], strict=True)] if len(weighted) else []
-    weights = spark.createDataFrame(rows, "source string, lang string, topic string, w bigint")
+    rows = pa.table({"source": pa.array(weighted["source"], pa.string()), "lang_no": pa.array(weighted["lang_no"], pa.int64()), "topic_no": pa.array(weighted["topic_no"], pa.int64()), "w": pa.array(np.rint(weighted["weight"].to_numpy(float) * UNIT).astype("int64"))})
+    weights = cut(coded.join(small(spark.createDataFrame(rows)), ["source", "lang_no", "topic_no"]).select("source", "lang", "topic", "w"))
     drawn = base.join(small(weights), ["source", "lang", "topic"], "left").join(small(goals), "source", "left").withColumn("w", F.when(F.col("n_tokens") > 0, F.coalesce("w", F.lit(0))).otherwise(0))
 
     # Systematic sampling along each source's documents in the order of size; running sums in whole units.

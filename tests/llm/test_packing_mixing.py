@@ -163,3 +163,31 @@ def test_margins(spark):
     mixed = spark.createDataFrame([(1, 1), (2, 3)], "doc_id bigint, uses int")
     got = {(r["kind"], r["value"]): (r["corpus_share"], r["reached_share"]) for r in margin_report(mixed, docs).collect()}
     assert got == {("lang", "en"): (0.75, 0.5), ("lang", "es"): (0.25, 0.5), ("lang", None): (0.0, 0.0), ("topic", "a"): (0.75, 0.5), ("topic", None): (0.25, 0.5)}
+
+
+def test_mix_does_not_depend_on_the_number_of_topics_and_languages(spark):
+    rng = random.Random(3)
+    docs = [(i, rng.choice("aab"), f"l{rng.randint(1, 30)}", f"t{rng.randint(1, 200)}", rng.randint(1, 200)) for i in range(1500)]
+    more = [(10_000 + i, "z", f"m{i % 60}", f"u{i}", 0) for i in range(2100)]  # without tokens or target they take no part
+    targets = spark.createDataFrame([("a", 0.4, 2), ("b", 0.6, 3)], "source string, target_share double, max_repeats int")
+    one, other = ({r["doc_id"]: r["uses"] for r in mix(spark.createDataFrame(d, "doc_id bigint, source string, lang string, topic string, n_tokens bigint"), targets).collect()} for d in (docs, docs + more))
+    assert {i: other[i] for i in one} == one
+    assert {other[r[0]] for r in more} == {0}
+
+
+def test_cells_added_up_get_the_weights_of_each(spark):
+    from fieldlog.llm.mixing import shared_kinds, told_apart
+
+    rng = random.Random(6)
+    draw = lambda kind, n: f"{kind}{rng.randint(1, 5)}" if rng.random() < 0.5 else f"{kind}-{n}"
+    rows = [(rng.choice("abc"), draw("l", i), draw("t", i), float(rng.randint(1, 90))) for i in range(300)]
+    cells = pd.DataFrame(rows, columns=["source", "lang", "topic", "tokens"]).groupby(["source", "lang", "topic"], as_index=False).sum()
+    targets = pd.DataFrame({"source": ["a", "b", "c"], "target_share": [0.2, 0.6, 0.2], "max_repeats": [3, 1, 4]})
+    want = rake(cells, targets, cells["tokens"].sum()).set_index(["source", "lang", "topic"])["weight"]
+    df = spark.createDataFrame(cells)
+    coded = df.join(shared_kinds(df, "lang"), "lang", "left").join(shared_kinds(df, "topic"), "topic", "left").fillna(-1, ["lang_no", "topic_no"])
+    few = told_apart(coded)
+    assert len(few) < 150 < len(cells)
+    got = coded.toPandas().merge(rake(few, targets, cells["tokens"].sum())[["source", "lang_no", "topic_no", "weight"]], on=["source", "lang_no", "topic_no"])
+    assert len(got) == len(cells)
+    assert max(abs(want[r.source, r.lang, r.topic] - r.weight) for r in got.itertuples()) < 1e-9
